@@ -4,7 +4,7 @@ Keys of the three tables that are tied by usable identifiers form entities. Thei
 distinct titles are sorted by several composite keys (title forwards, title
 backwards, first author, last author); in each order every title is compared with the next
 few. A pair is scored by weighted field similarities: title (equal, misspelt, or
-without subtitle), authors, year, journal, remains of identifiers. Entities
+without subtitle), authors, year (each off by one at most), journal, remains of identifiers. Entities
 that both bear a DOI, a PubMed id or a paper are different articles by that
 alone and are never compared further. Among the rest an auction assigns PubMed-only to
 DOI-only entities, and papers to the rest, one to one with the greatest total confidence;
@@ -65,7 +65,8 @@ def source_rows(pubmed: DataFrame, openalex: DataFrame, papers: DataFrame) -> Da
     year = F.regexp_extract("year", r"(1[89][0-9]{2}|20[0-9]{2})", 1)
     people = F.filter(
         F.transform("authors", _surname),
-        lambda s: s.rlike(r"^[\p{L}'’ -]{2,}$") & ~s.rlike(r"^(al|et al|anonymous|unknown|n a|na|none|authors?|not available)$"),
+        lambda s: s.rlike(r"^[\p{L}'’ -]{2,}$")
+        & ~s.rlike(r"^(al|et al|anonymous|unknown|n a|na|none|authors?|not available|.*(consortium|group|collaboration|team|committee))$"),
     )
     j = F.transform(F.filter(_words(_fold(F.col("journal"))), lambda w: ~w.isin("of", "on", "in", "and", "for")), lambda w: F.substring(w, 1, 3))
     return rows.where("key IS NOT NULL").select(
@@ -153,7 +154,7 @@ def candidate_pairs(recs: DataFrame, window: int = WINDOW, block: int = BLOCK) -
     known = (F.size("people_a") > 0) & (F.size("people_b") > 0)
     persons = F.size(F.array_intersect("people_a", "people_b")) / F.least(F.size(F.array_distinct("people_a")), F.size(F.array_distinct("people_b")))
     gap = F.array_min(F.flatten(F.transform("years_a", lambda x: F.transform("years_b", lambda y: F.abs(x - y)))))
-    year = F.when(gap.isNull(), 0.5).when(gap == 0, 1.0).when(gap == 1, 0.8)
+    year = F.when(gap.isNull(), 0.5).when(gap == 0, 1.0).when(gap == 1, 0.8).when(gap == 2, 0.3)
     journal = F.when((F.size("journals_a") == 0) | (F.size("journals_b") == 0), 0.5).when(
         F.exists("journals_a", lambda x: F.exists("journals_b", lambda y: (x == y) | F.startswith(x, y) | F.startswith(y, x))), 1.0
     ).otherwise(0.0)
