@@ -20,7 +20,7 @@ _OPENALEX = (
 )
 _CROSSREF = (
     "message struct<items:array<struct<DOI:string,URL:string,title:array<string>,abstract:string,type:string,`is-referenced-by-count`:int,"
-    "author:array<struct<given:string,family:string>>,issued:struct<`date-parts`:array<array<int>>>,reference:array<struct<DOI:string,doi:string,key:string>>>>>"
+    "author:array<struct<given:string,family:string>>,issued:struct<`date-parts`:array<array<int>>>,reference:array<map<string,string>>>>>"
 )
 _SCHOLAR = "organic_results array<struct<result_id:string,title:string,link:string,snippet:string,publication_info:struct<summary:string>,inline_links:struct<cited_by:struct<total:int>>>>, serpapi_pagination struct<next:string>"
 _S2 = "data array<struct<paperId:string,corpusId:string,externalIds:map<string,string>,url:string,title:string,abstract:string,year:int,citationCount:int,publicationTypes:array<string>,authors:array<struct<name:string>>>>, next int"
