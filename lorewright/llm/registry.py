@@ -12,7 +12,7 @@ one is split into shards of that size, each matched in turn, and the shard
 winners are merged by distance. Values need no shuffle: each worker keeps what it
 has already resolved, so a value typed a million times costs one search.
 
-Defined results: null, blank and unmatched values map to the empty string; of
+Defined results: rows of null id are ignored; null, blank and unmatched values map to the empty string; of
 equally near entries the smallest id wins only if all words agree; an empty
 reference list matches nothing; repeated ids of values give one row.
 """
@@ -143,6 +143,7 @@ class Matcher:
                 self.exact.setdefault(joined, set()).add(key)
                 self.core[joined] = plain
         self.first = {c[0] for c in self.core.values()}
+        self.longest = max(map(len, self.core), default=0)
         self.tree = BKTree(sorted(self.core))
 
     def _is_generic(self, w: str, loose: bool | None) -> bool:
@@ -207,7 +208,8 @@ class Matcher:
             return (next(iter(self.short[joined])), 0) if len(self.short[joined]) == 1 else ("", -1)
         if joined in self.exact:
             return min(self.exact[joined]), 0
-        if len(joined) <= 5 or not any(levenshtein(core[0], v) <= slack(v) for v in self.first):
+        # an entry differs from a far longer value by more than any radius
+        if len(joined) <= 5 or len(joined) > self.longest + 6 or not any(levenshtein(core[0], v) <= slack(v) for v in self.first):
             return "", -1
         near = [(d, c) for d, c in self.tree.search(joined, min(6, len(joined) // 3)) if self._agrees(core, self.core[c])]
         if not near:
@@ -230,7 +232,7 @@ def reference_names(registry: DataFrame) -> DataFrame:
 def map_values(values: DataFrame, id_col: str, text_col: str, names: DataFrame) -> DataFrame:
     """One row per distinct id: ``<id_col>, match, distance``; no match is '' and -1."""
     kind = values.schema[id_col].dataType.simpleString()
-    one = values.groupBy(F.col(id_col).alias("k")).agg(F.min(text_col).alias("t"))
+    one = values.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("k")).agg(F.min(text_col).alias("t"))
     total = names.count()
     shards = max(1, -(-total // SHARD))
     parts = None

@@ -9,7 +9,7 @@ absolute deviations first, then covariance over the nearer rows, twice. A page i
 flagged if its Mahalanobis distance is beyond the cutoff, it lies on the spam side
 of the centre, and most of its text is repetition, links or word lists and no prose.
 
-Defined results: null and blank texts have no features and are never flagged;
+Defined results: rows of null id, null and blank texts have no features and are never flagged;
 languages are read off the function words, the ``lang`` column is not used; a
 language of fewer than ``min_rows`` texts shares the pooled estimates; repeated
 rows are judged alike.
@@ -38,7 +38,7 @@ FLOOR = [0.08, 0.12, 0.06, 0.12, 0.08, 0.08]
 #: 0.999 quantile of chi-square with six degrees of freedom.
 CUTOFF = 22.46
 
-_TOKEN = re.compile(r"<[^>]{0,2000}>|(?:https?://|www\.)\S+|[^\W_]+(?:[-'’][^\W_]+)*")
+_TOKEN = re.compile(r"<[^<>]{0,2000}>|(?:https?://|www\.)\S+|[^\W_]+(?:[-'’][^\W_]+)*")
 _STOP = re.compile(r"[.!?]['\")\]]*(?=\s|$)|\n\s*\n")
 NEAR, WIDE = 8, 20
 
@@ -123,7 +123,7 @@ def page_features(docs: DataFrame) -> DataFrame:
             rows = [(k, x[0], *x[1]) for k, t in zip(b["doc_id"], b["text"], strict=True) if t and (x := features(t))]
             yield pd.DataFrame(rows, columns=["doc_id", "tongue", *FEATURES])
 
-    return docs.select("doc_id", "text").mapInPandas(
+    return docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text").mapInPandas(
         run, f"doc_id {kind}, tongue string, " + ", ".join(f"{x} double" for x in FEATURES)
     )
 

@@ -9,7 +9,7 @@ true, and a source's reliability is the share of its rows' units found true. Thi
 runs until the reliabilities settle. Cut-off, shortened and shuffled copies thus
 vote for the parts they still have.
 
-Defined results: rows without a usable identifier, or alone in their group, form no
+Defined results: rows without rec_id, without a usable identifier, or alone in their group, form no
 group; ties of votes go to the longer, then smaller text; unknown or missing
 sources have the lowest weight and rank; null harvest times rank last; a group
 without any well-formed value of a field has no row for it; exact repeats of a
@@ -38,7 +38,7 @@ WORST = 1_000_000
 
 def article_groups(rows: DataFrame) -> DataFrame:
     """``rec_id, group_id`` of the rows in groups of two or more."""
-    keys = rows.select(
+    keys = rows.where("rec_id IS NOT NULL").select(
         "rec_id",
         F.explode(
             F.array_compact(
