@@ -23,9 +23,9 @@ def test_openalex_page(spark):
 def test_crossref_and_scholar_and_rxiv(spark):
     c = P.crossref_papers(page(spark, {"message": {"items": [{"DOI": "10.2/Y", "title": ["T"], "author": [{"given": "A", "family": "B"}], "issued": {"date-parts": [[2019, 1]]}, "reference": [{"key": "k"}]}]}})).collect()[0]
     assert (c["identifier"], c["authors"], c["year"], c["influential_citations"]) == ("crossref:10.2/Y", ["A B"], 2019, ["k"])
-    s = page(spark, {"organic_results": [{"title": "T", "link": "http://x/10.3/z", "publication_info": {"summary": "A B, C D - J, 2018"}}], "serpapi_pagination": {"next": "http://s?start=20&x=1"}})
+    s = page(spark, {"organic_results": [{"title": "T", "link": "http://x/10.3000/z", "publication_info": {"summary": "A B, C D - J, 2018"}}], "serpapi_pagination": {"next": "http://s?start=20&x=1"}})
     row = P.scholar_papers(s).collect()[0]
-    assert (row["year"], row["doi"], row["authors"]) == (2018, "10.3/z", ["A B", "C D"])
+    assert (row["year"], row["doi"], row["authors"]) == (2018, "10.3000/z", ["A B", "C D"])
     assert P.scholar_cursor(s).collect()[0]["next_start"] == 20
     x = page(spark, {"collection": [{"doi": "10.4/a", "title": "Aging mice", "authors": "A, B; C, D", "abstract": "na", "category": "cell", "date": "2021-03-01"}]})
     assert P.rxiv_papers(x, "mice cell", ["Cell"]).collect()[0]["abstract"] == ""
