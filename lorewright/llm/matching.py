@@ -90,6 +90,8 @@ def entities(rows: DataFrame) -> DataFrame:
 def profiles(rows: DataFrame, ent: DataFrame) -> DataFrame:
     """One record per entity and distinct title, with the entity's attributes."""
     lead = F.regexp_extract(_fold(F.col("title")), r"^(.{12,}?)\s*(?:[:?.]\s+|\s[-–—‐‑]\s)(?:.{8,})$", 1)
+    # a part of a series is not what its lead alone names
+    lead = F.when(F.lower("title").rlike(r"\bpart\s+([ivx]+|[0-9]+|one|two|three)\W*$"), "").otherwise(lead)
     each = rows.join(ent, "node").where(strip("title") != "")
     by_entity = rows.join(ent, "node").groupBy("entity").agg(
         F.max_by("people", F.struct(F.size("people"), F.array_join("people", " "))).alias("people"),
