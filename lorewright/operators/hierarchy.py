@@ -60,9 +60,12 @@ def parent_links(nodes: DataFrame) -> DataFrame:
     )
 
 
-def _contract(live: DataFrame, turn: int) -> DataFrame:
-    """One round: rows of ``live`` with their links updated and ``act`` 0 kept, 1 raked, 2 spliced."""
-    h = lambda c: F.xxhash64(F.col(c), F.lit(turn))
+def _contract(live: DataFrame) -> DataFrame:
+    """One round: rows of ``live`` with their links updated and ``act`` 0 kept, 1 raked, 2 spliced.
+
+    The round's number is a column and no literal, so that all rounds share their generated code.
+    """
+    h = lambda c: F.xxhash64(F.col(c), F.col("turn"))
     fan = live.groupBy("p").agg(F.count("*").alias("n"), F.min("v").alias("c")).withColumnRenamed("p", "v")
     seen = live.join(fan, "v", "left").withColumn(
         "act",
@@ -73,12 +76,12 @@ def _contract(live: DataFrame, turn: int) -> DataFrame:
         .otherwise(0),
     )
     own = F.struct(
-        F.col("v"), F.col("act"), F.col("name"), F.col("p"), F.col("seg"), F.lit(None).cast("string").alias("up"),
+        F.col("v"), F.col("act"), F.col("name"), F.col("p"), F.col("seg"), F.col("turn"), F.lit(None).cast("string").alias("up"),
         F.lit(None).cast("array<string>").alias("useg"),
     )
     handed = F.struct(
         F.col("c").alias("v"), F.lit(None).cast("int").alias("act"), F.lit(None).cast("string").alias("name"),
-        F.lit(None).cast("string").alias("p"), F.lit(None).cast("array<string>").alias("seg"),
+        F.lit(None).cast("string").alias("p"), F.lit(None).cast("array<string>").alias("seg"), F.lit(None).cast("int").alias("turn"),
         F.col("p").alias("up"), F.concat("seg", F.array("name")).alias("useg"),
     )
     rows = seen.select(
@@ -86,7 +89,7 @@ def _contract(live: DataFrame, turn: int) -> DataFrame:
     ).select("x.*")
     # A node has at most one row of its own and one handed down by the parent that left.
     merged = rows.groupBy("v").agg(
-        *[F.first(c, ignorenulls=True).alias(c) for c in ("act", "name", "p", "seg", "up", "useg")]
+        *[F.first(c, ignorenulls=True).alias(c) for c in ("act", "name", "p", "seg", "turn", "up", "useg")]
     )
     return merged.select(
         "v",
@@ -94,6 +97,7 @@ def _contract(live: DataFrame, turn: int) -> DataFrame:
         "name",
         F.coalesce("up", "p").alias("p"),
         F.when(F.col("up").isNotNull(), F.concat("useg", "seg")).otherwise(F.col("seg")).alias("seg"),
+        (F.col("turn") + 1).alias("turn"),
     )
 
 
@@ -106,18 +110,16 @@ def resolve_hierarchy(nodes: DataFrame) -> DataFrame:
     """
     links = cut(parent_links(nodes))
     live = links.where(F.col("p").isNotNull()).select(
-        "v", "name", "p", F.array().cast("array<string>").alias("seg")
+        "v", "name", "p", F.array().cast("array<string>").alias("seg"), F.lit(0).alias("turn")
     )
     rounds: list[DataFrame] = []
-    turn = 0
     while True:
-        state = cut(_contract(live, turn))
+        state = cut(_contract(live))
         counts = {r["act"]: (r["n"], r["loops"]) for r in state.groupBy("act").agg(
             F.count("*").alias("n"), F.count_if(F.col("v") == F.col("p")).alias("loops")).collect()}
         rounds.append(state.where("act > 0"))
-        live = state.where("act = 0").select("v", "name", "p", "seg")
+        live = state.where("act = 0").select("v", "name", "p", "seg", "turn")
         kept, loops = counts.get(0, (0, 0))
-        turn += 1
         if kept == loops:
             break
     known = [
