@@ -15,7 +15,7 @@ def _rows(spark, sf):
 
 
 def p2_found(spark, sf):
-    return survivor.survivors(_rows(spark, sf), table(spark, sf, "source_trust")).select("group_id", "field", "rec_id")
+    return survivor.survivors(_rows(spark, sf), table(spark, sf, "source_trust"))
 
 
 def p2_records(spark, sf):
@@ -23,7 +23,7 @@ def p2_records(spark, sf):
 
 
 def p2_reliability(spark, sf):
-    return survivor.discover(_rows(spark, sf), table(spark, sf, "source_trust"))[1]
+    return survivor.discover(survivor.grouped_claims(_rows(spark, sf), table(spark, sf, "source_trust")))[1]
 
 
 QUERIES = {"p2_found": p2_found, "p2_records": p2_records, "p2_reliability": p2_reliability}

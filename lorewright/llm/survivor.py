@@ -77,7 +77,11 @@ def _author_key(a: Column) -> Column:
 
 
 def _claims(rows: DataFrame) -> DataFrame:
-    """``rec_id, field, value, shown, sound, units``: value is the folded form, sound its well-formedness."""
+    """``rec_id, field, value, size, shown, sound, units``.
+
+    ``value`` and ``units`` are 64-bit hashes of the folded value and its parts, which
+    are only ever compared within a group; ``size`` is the folded length and ``sound`` tells well-formed values.
+    """
     a = squeeze(F.regexp_replace("abstract", r"<[^>]{1,200}>", " "))
     folded = _words(a)
     tokens = F.split(folded, " ")
@@ -109,7 +113,8 @@ def _claims(rows: DataFrame) -> DataFrame:
     )
     doi = usable_doi("doi")
     claim = lambda field, value, shown, sound, units: F.struct(
-        F.lit(field).alias("field"), value.alias("value"), shown.alias("shown"), sound.alias("sound"), units.alias("units")
+        F.lit(field).alias("field"), F.when(value != "", F.xxhash64(value)).alias("value"), F.length(value).alias("size"),
+        shown.alias("shown"), sound.alias("sound"), F.transform(units, lambda u: F.xxhash64(u)).alias("units"),
     )
     return (
         rows.select(
@@ -123,57 +128,58 @@ def _claims(rows: DataFrame) -> DataFrame:
             ).alias("c"),
         )
         .select("rec_id", "c.*")
-        .where("value IS NOT NULL AND value <> ''")
+        .where("value IS NOT NULL")
         .withColumn("sound", F.coalesce("sound", F.lit(False)))
     )
 
 
-def discover(rows: DataFrame, trust: DataFrame, max_rounds: int = 6, tolerance: float = 1e-3) -> tuple[DataFrame, DataFrame]:
-    """(truths, reliabilities): ``group_id, field, value`` and ``source, reliability``."""
-    members = cut(claims_of_groups(rows, trust))
+def discover(members: DataFrame, max_rounds: int = 6, tolerance: float = 1e-3) -> tuple[DataFrame, DataFrame]:
+    """(truths, reliabilities): ``group_id, field, value`` and ``source, reliability``.
+
+    Units that every value of a group and field shares carry no decision, but count
+    all the same: a value is worth the votes of all its units.
+    """
     # exact copies of a value from the same sources are one line with a count
     lines = cut(
         members.groupBy("group_id", "field", "value", "names").agg(
-            F.count("*").alias("n"), F.first("units").alias("units"), F.max("sound").alias("sound")
+            F.count("*").alias("n"), F.first("units").alias("units"), F.max("sound").alias("sound"), F.first("size").alias("size")
         )
     )
-    sources = lines.select(F.explode("names").alias("source")).distinct()
+    sources = cut(lines.select(F.explode("names").alias("source")).distinct())
     reliability = sources.withColumn("reliability", F.lit(0.8))
     before: dict[str, float] = {}
     truths = None
     for _ in range(max_rounds):
-        named = lines.select("group_id", "field", "value", "names", "n", "units", "sound", F.explode("names").alias("source"))
-        weight = named.join(reliability, "source").groupBy("group_id", "field", "value", "names").agg(
-            F.first("n").alias("n"), F.first("units").alias("units"), F.max("sound").alias("sound"), F.avg("reliability").alias("w")
-        )
-        stated = weight.groupBy("group_id", "field", "value").agg(
-            F.sum(F.col("n") * F.col("w")).alias("w"), F.first("units").alias("units"), F.max("sound").alias("sound")
+        # rows are weighted by the mean reliability of their sources, by the distinct sets of sources
+        sets = lines.select("names").distinct()
+        weights = (
+            sets.select("names", F.explode("names").alias("source"))
+            .join(reliability, "source")
+            .groupBy("names")
+            .agg(F.avg("reliability").alias("w"))
         )
-        parts = stated.select("group_id", "field", "value", "w", "sound", F.explode("units").alias("unit"))
+        stated = lines.join(weights, "names").groupBy("group_id", "field", "value").agg(
+            F.sum(F.col("n") * F.col("w")).alias("w"), F.first("units").alias("units"), F.max("sound").alias("sound"), F.first("size").alias("size")
+        )
+        parts = stated.select("group_id", "field", "value", "size", "w", "sound", F.explode("units").alias("unit"))
         votes = parts.groupBy("group_id", "field", "unit").agg(F.sum("w").alias("votes"))
         worth = (
             parts.where("sound")
             .join(votes, ["group_id", "field", "unit"])
-            .groupBy("group_id", "field", "value")
+            .groupBy("group_id", "field", "value", "size")
             .agg(F.round(F.sum("votes"), 6).alias("worth"))
         )
-        best = F.struct("worth", F.length("value").alias("l"), "value")
-        truths = cut(
-            worth.groupBy("group_id", "field").agg(F.max(best).alias("b")).select("group_id", "field", F.col("b.value").alias("value"))
-        )
-        true_units = truths.join(
-            stated.select("group_id", "field", "value", "units"), ["group_id", "field", "value"]
-        ).select("group_id", "field", F.col("units").alias("true_units"))
-        agree = named.join(true_units, ["group_id", "field"]).select(
-            "source", "n",
+        best = worth.groupBy("group_id", "field").agg(F.max(F.struct("worth", "size", "value")).alias("b"))
+        truths = cut(best.select("group_id", "field", F.col("b.value").alias("value")))
+        true_units = truths.join(lines, ["group_id", "field", "value"]).groupBy("group_id", "field").agg(F.first("units").alias("true_units"))
+        agree = lines.join(true_units, ["group_id", "field"]).select(
+            "names", "n",
             (F.size(F.array_intersect("units", "true_units")) / F.size(F.array_union("units", "true_units"))).alias("share"),
-        )
-        reliability = cut(
-            sources.join(
-                agree.groupBy("source").agg(((F.sum(F.col("share") * F.col("n")) + 4.0) / (F.sum("n") + 5.0)).alias("r")),
-                "source", "left",
-            ).select("source", F.coalesce("r", F.lit(0.8)).alias("reliability"))
-        )
+        ).groupBy("names").agg(F.sum(F.col("share") * F.col("n")).alias("share"), F.sum("n").alias("n"))
+        per_source = agree.select(F.explode("names").alias("source"), "share", "n").groupBy("source").agg(
+            ((F.sum("share") + 4.0) / (F.sum("n") + 5.0)).alias("r")
+        )
+        reliability = cut(sources.join(per_source, "source", "left").select("source", F.coalesce("r", F.lit(0.8)).alias("reliability")))
         # the change is measured in aggregate; the table itself stays where it is
         now = reliability.agg(F.avg("reliability").alias("m"), F.sum(F.col("reliability") * F.col("reliability")).alias("s")).collect()[0]
         mark = {"m": now["m"] or 0.0, "s": now["s"] or 0.0}
@@ -199,34 +205,38 @@ def claims_of_groups(rows: DataFrame, trust: DataFrame) -> DataFrame:
         .groupBy("rec_id")
         .agg(F.coalesce(F.min("trust_rank"), F.lit(WORST)).alias("rank"))
     )
-    groups = article_groups(rows)
-    return _claims(rows).distinct().join(groups, "rec_id").join(meta, "rec_id").join(ranked, "rec_id")
+    about = article_groups(rows).join(meta, "rec_id").join(ranked, "rec_id")
+    # texts stay where they are read; only hashes move. Repeats of a row are one
+    return _claims(rows).drop("shown").dropDuplicates(["rec_id", "field"]).join(about, "rec_id")
 
 
 def survivors(rows: DataFrame, trust: DataFrame) -> DataFrame:
-    """The row whose value stands for each group and field: ``group_id, field, rec_id, shown``.
+    """The row whose value stands for each group and field: ``group_id, field, rec_id``.
 
     Of the rows that state the discovered value (for a DOI, any usable one) well-formed,
     the one of best trust rank, then latest harvest, then smallest id.
     """
-    rows = rows.select("rec_id", "pmid", "doi", "title", "abstract", "authors", "sources", "harvested_at")
-    truths, _ = discover(rows, trust)
-    members = claims_of_groups(rows, trust).where("sound")
-    held = members.join(truths.withColumnRenamed("value", "truth"), ["group_id", "field"]).where(
+    members = grouped_claims(rows, trust)
+    truths, _ = discover(members)
+    held = members.where("sound").join(truths.withColumnRenamed("value", "truth"), ["group_id", "field"]).where(
         "value = truth OR field = 'doi'"
     )
     order = F.struct(
-        "rank", F.coalesce(-F.unix_micros(F.col("harvested_at").cast("timestamp")), F.lit(9223372036854775807)).alias("h"),
-        "rec_id", "shown",
-    )
-    return held.groupBy("group_id", "field").agg(F.min(order).alias("o")).select(
-        "group_id", "field", F.col("o.rec_id").alias("rec_id"), F.col("o.shown").alias("shown")
+        "rank", F.coalesce(-F.unix_micros(F.col("harvested_at").cast("timestamp")), F.lit(9223372036854775807)).alias("h"), "rec_id"
     )
+    return held.groupBy("group_id", "field").agg(F.min(order).alias("o")).select("group_id", "field", F.col("o.rec_id").alias("rec_id"))
+
+
+def grouped_claims(rows: DataFrame, trust: DataFrame) -> DataFrame:
+    """The claims of all grouped rows without their texts, materialised."""
+    rows = rows.select("rec_id", "pmid", "doi", "title", "abstract", "authors", "sources", "harvested_at")
+    return cut(claims_of_groups(rows, trust))
 
 
 def best_records(rows: DataFrame, trust: DataFrame) -> DataFrame:
     """One record per group: ``group_id, doi, abstract, authors, sources``."""
-    best = survivors(rows, trust).groupBy("group_id").agg(
+    shown = _claims(rows).select("rec_id", "field", "shown")
+    best = survivors(rows, trust).join(shown, ["rec_id", "field"]).groupBy("group_id").agg(
         F.max(F.when(F.col("field") == "doi", F.element_at("shown", 1))).alias("doi"),
         F.max(F.when(F.col("field") == "abstract", F.element_at("shown", 1))).alias("abstract"),
         F.max(F.when(F.col("field") == "authors", F.col("shown"))).alias("authors"),
