@@ -82,42 +82,54 @@ def _claims(rows: DataFrame) -> DataFrame:
     ``value`` and ``units`` are 64-bit hashes of the folded value and its parts, which
     are only ever compared within a group; ``size`` is the folded length and ``sound`` tells well-formed values.
     """
-    a = squeeze(F.regexp_replace("abstract", r"<[^>]{1,200}>", " "))
-    folded = _words(a)
-    tokens = F.split(folded, " ")
-    n = F.size(tokens)
-    rises = F.size(F.filter(F.arrays_zip(F.slice(tokens, 1, F.greatest(n - 1, F.lit(1))).alias("x"), F.slice(tokens, 2, F.greatest(n - 1, F.lit(1))).alias("y")), lambda z: z["x"] <= z["y"]))
-    hits = F.size(F.array_distinct(F.regexp_extract_all(F.lower(a), F.lit(FILLER), 1)))
-    title = _words(squeeze(F.regexp_replace("title", r"<[^>]{1,200}>", " ")))
+    # each step is a projection of its own, so that no costly expression is computed twice
+    tags = r"<[^>]{1,200}>"
+    step = rows.select(
+        "rec_id", usable_doi("doi").alias("doi"), squeeze(F.regexp_replace("abstract", tags, " ")).alias("a"),
+        squeeze(F.regexp_replace("title", tags, " ")).alias("t"),
+        F.filter("authors", lambda x: x.isNotNull() & (strip(x) != "")).alias("people"),
+    )
+    step = step.select(
+        "rec_id", "doi", "a", "people", _words(F.col("a")).alias("folded"), _words(F.col("t")).alias("title"),
+        F.transform("people", squeeze).alias("names"), F.transform("people", _author_key).alias("keys"),
+        F.filter(F.transform(F.split("a", r"(?<=[.!?])\s+"), _words), lambda s: F.length(s) > 0).alias("parts"),
+        F.size(F.array_distinct(F.regexp_extract_all(F.lower("a"), F.lit(FILLER), F.lit(1)))).alias("hits"),
+    ).withColumn("tokens", F.split("folded", " "))
+    n = F.size("tokens")
+    # words in falling order somewhere: pairs that fall, counted along the text
+    falls = F.aggregate(
+        "tokens",
+        F.struct(F.lit("").alias("last"), F.lit(0).alias("n")),
+        lambda acc, x: F.struct(x.alias("last"), (acc["n"] + F.when(x < acc["last"], 1).otherwise(0)).alias("n")),
+        lambda acc: acc["n"],
+    )
+    folded, title = F.col("folded"), F.col("title")
     near_title = (F.length(folded) < 300) & (F.levenshtein(folded, title) <= F.length(folded) * 0.3)
+    step = step.withColumn("falls", falls)
     sound_abstract = (
         (F.length(folded) >= 40)
+        & F.col("a").rlike(r"[.!?][\"')\]”’]*$")
+        & ~F.col("a").rlike(r"(\.\.\.|…|\[\s*(\.\.\.|…)\s*\])$")
+        & (F.col("falls") > n * 0.2)
+        & (F.col("hits") < 2)
         & ~F.coalesce(near_title, F.lit(False))
-        & a.rlike(r"[.!?][\"')\]”’]*$")
-        & ~a.rlike(r"(\.\.\.|…|\[\s*(\.\.\.|…)\s*\])$")
-        & (rises < n * 0.8)
-        & (hits < 2)
-    )
-    sentences = F.array_distinct(
-        F.filter(F.transform(F.split(a, r"(?<=[.!?])\s+"), _words), lambda s: F.length(s) > 0)
     )
-    people = F.filter("authors", lambda x: x.isNotNull() & (strip(x) != ""))
-    names = F.transform(people, squeeze)
+    sentences = F.array_distinct("parts")
     word = r"\p{Lu}[\p{L}'’-]+"
     whole_name = rf"^({word}( {word})+|{word}( {word})*, {word}( {word})*)$"
-    keys = F.transform(people, _author_key)
+    keys = F.col("keys")
     sound_authors = (
-        (F.size(people) > 0)
-        & F.forall(names, lambda x: x.rlike(whole_name) & ~F.lower(x).rlike(r"^(anonymous|unknown|et al|no author|author unknown|not available)"))
+        (F.size("people") > 0)
+        & F.forall("names", lambda x: x.rlike(whole_name) & ~F.lower(x).rlike(r"^(anonymous|unknown|et al|no author|author unknown|not available)"))
         & (F.size(F.array_distinct(keys)) == F.size(keys))
     )
-    doi = usable_doi("doi")
+    doi, a, people = F.col("doi"), F.col("a"), F.col("people")
     claim = lambda field, value, shown, sound, units: F.struct(
         F.lit(field).alias("field"), F.when(value != "", F.xxhash64(value)).alias("value"), F.length(value).alias("size"),
         shown.alias("shown"), sound.alias("sound"), F.transform(units, lambda u: F.xxhash64(u)).alias("units"),
     )
     return (
-        rows.select(
+        step.select(
             "rec_id",
             F.explode(
                 F.array(
