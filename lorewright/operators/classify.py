@@ -16,10 +16,10 @@ def keyword_scores(papers: DataFrame, id_col: str, text_col: str, keywords: Data
     words = sorted(r["keyword"] for r in keywords.select(F.lower("keyword").alias("keyword")).distinct().collect())
     if not words:
         raise ValueError("no keywords")
-    low = F.lower(F.col(text_col))
-    hits = papers.select(
-        F.col(id_col), F.explode(F.filter(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(low, w))).alias("keyword")
-    )
+    # the text is lowered in a step of its own, not once per keyword
+    low = papers.select(F.col(id_col), F.lower(F.col(text_col)).alias("_low"))
+    found = F.array_compact(F.array(*[F.when(F.contains("_low", F.lit(w)), F.lit(w)) for w in words]))
+    hits = low.select(F.col(id_col), F.explode(found).alias("keyword"))
     listed = keywords.select("theory", F.lower("keyword").alias("keyword")).groupBy("theory", "keyword").agg(F.count("*").alias("times"))
     sizes = keywords.groupBy("theory").agg(F.count("*").alias("size"))
     return (

@@ -69,10 +69,12 @@ def _condition(s: Column, terms, digit: bool) -> Column:
 
 
 def _meets(triggers):
+    """Whether a lower-case sentence has a term of every group."""
+
     def test(s: Column) -> Column:
-        low, out = F.lower(s), F.lit(True)
+        out = F.lit(True)
         for group in triggers:
-            out = out & _any(low, group)
+            out = out & _any(s, group)
         return out
 
     return test
@@ -81,17 +83,22 @@ def _meets(triggers):
 def answer_papers(papers: DataFrame, rules=RULES) -> DataFrame:
     """``identifier, question_id, answer, confidence, evidence`` for every paper and question."""
     text = F.concat_ws("\n", F.coalesce("title", F.lit("")), analysis_text())
-    prepared = papers.select("identifier", sentences(text).alias("ss"))
+    # projections in steps: sentences once, their lower case once, the place of the deciding sentence once
+    prepared = papers.select("identifier", sentences(text).alias("ss")).withColumn("low", F.transform("ss", F.lower))
+    at = {q: F.array_position(F.transform("low", _meets(triggers)), True).cast("int") for q, triggers, *_ in rules}
+    placed = prepared.select("identifier", "ss", "low", *[at[q].alias(f"at_{q}") for q in at])
+    first = placed.select(
+        "identifier", *[F.get("ss", F.col(f"at_{q}") - 1).alias(f"ev_{q}") for q in at], *[F.get("low", F.col(f"at_{q}") - 1).alias(f"low_{q}") for q in at]
+    )
     answers = []
-    for q, triggers, ladder, none, base in rules:
-        first = F.get(F.filter("ss", _meets(triggers)), F.lit(0))
-        low = F.lower(first)
+    for q, _, ladder, none, base in rules:
+        low = F.col(f"low_{q}")
         label, conf = F.lit(none), F.lit(base)
         for terms, digit, text_, value in reversed(ladder):
-            hit = first.isNotNull() & _condition(low, terms, digit)
+            hit = low.isNotNull() & _condition(low, terms, digit)
             label, conf = F.when(hit, text_).otherwise(label), F.when(hit, value).otherwise(conf)
-        answers.append(F.struct(F.lit(q).alias("question_id"), label.alias("answer"), conf.alias("confidence"), first.alias("evidence")))
-    return prepared.select("identifier", F.explode(F.array(*answers)).alias("a")).select("identifier", "a.*")
+        answers.append(F.struct(F.lit(q).alias("question_id"), label.alias("answer"), conf.alias("confidence"), F.col(f"ev_{q}").alias("evidence")))
+    return first.select("identifier", F.explode(F.array(*answers)).alias("a")).select("identifier", "a.*")
 
 
 def combine(heuristic: Column, h_conf: Column, model: Column, m_conf: Column, allowed: list[str], decline: list[str],

@@ -34,3 +34,20 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Repartition by keys before a costly Python step.
+
+    Adaptive execution merges small partitions by their bytes; rows that are short but
+    costly would end in a few tasks. A number given here stays.
+    """
+    spark = df.sparkSession
+    n = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(n, *keys)
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan of fewer splits than there are cores over all of them; a larger one stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
