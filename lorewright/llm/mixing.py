@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from lorewright.functions.text import strip
 from lorewright.llm.ranking import two_level_rank
 from lorewright.llm.tokens import TOKENIZER_DIR, token_count
-from lorewright.session import cut
+from lorewright.session import cut, spread_scan
 
 
 def _key(c):
@@ -31,7 +31,7 @@ def source_sizes(docs: DataFrame, targets: DataFrame, tokenizer_dir: str = TOKEN
     """Documents of listed sources: ``doc_id, k, tokens``, materialised."""
     listed = targets.select(_key("source").alias("k")).where("k != ''").distinct()
     return cut(
-        docs.select("doc_id", _key("source").alias("k"), "text")
+        spread_scan(docs.select("doc_id", _key("source").alias("k"), "text"))
         .join(listed, "k", "left_semi")
         .select("doc_id", "k", token_count(F.col("text"), tokenizer_dir).alias("tokens"))
     )

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from lorewright.llm.ranking import two_level_rank
 from lorewright.llm.tokens import TOKENIZER_DIR, token_count
-from lorewright.session import cut
+from lorewright.session import cut, spread_scan
 
 BUCKETS = 64
 
@@ -79,7 +79,7 @@ def pack(
 ) -> DataFrame:
     """One row per piece: ``<id_col>, piece, pieces, first_token, tokens, tier, container, step``."""
     spark = docs.sparkSession
-    sizes = docs.select(F.col(id_col).alias("item"), token_count(F.col(text_col), tokenizer_dir).alias("total"))
+    sizes = spread_scan(docs.select(F.col(id_col).alias("item"), F.col(text_col).alias("text"))).select("item", token_count(F.col("text"), tokenizer_dir).alias("total"))
     pieces = F.greatest(F.lit(1), F.ceil(F.col("total") / capacity)).cast("int")
     cutted = cut(
         sizes.withColumn("pieces", pieces)

@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lorewright.session import spread
+
 SHARD = 20_000
 
 #: Words that name the kind of entry and not the entry.
@@ -232,7 +234,8 @@ def reference_names(registry: DataFrame) -> DataFrame:
 def map_values(values: DataFrame, id_col: str, text_col: str, names: DataFrame) -> DataFrame:
     """One row per distinct id: ``<id_col>, match, distance``; no match is '' and -1."""
     kind = values.schema[id_col].dataType.simpleString()
-    one = values.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("k")).agg(F.min(text_col).alias("t"))
+    each = values.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("k"), F.col(text_col).alias("t"))
+    one = spread(each, "k").groupBy("k").agg(F.min("t").alias("t"))
     total = names.count()
     shards = max(1, -(-total // SHARD))
     parts = None

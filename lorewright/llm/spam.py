@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lorewright.llm.wordlists import ANY, SETS
-from lorewright.session import cut
+from lorewright.session import cut, spread_scan
 
 FEATURES = ["waste", "repeat", "function", "prose", "entropy", "links"]
 #: Sign of each feature on the spam side.
@@ -123,7 +123,7 @@ def page_features(docs: DataFrame) -> DataFrame:
             rows = [(k, x[0], *x[1]) for k, t in zip(b["doc_id"], b["text"], strict=True) if t and (x := features(t))]
             yield pd.DataFrame(rows, columns=["doc_id", "tongue", *FEATURES])
 
-    return docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text").mapInPandas(
+    return spread_scan(docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")).mapInPandas(
         run, f"doc_id {kind}, tongue string, " + ", ".join(f"{x} double" for x in FEATURES)
     )
 
