@@ -23,9 +23,7 @@ def depth_deficits(covered: DataFrame) -> DataFrame:
 def log_score(counts: DataFrame) -> DataFrame:
     """Contribution log10(n) of each theory with n > 0 and its share of the total."""
     each = counts.where("n > 0").withColumn("contribution", F.log10("n"))
-    total = F.sum("contribution").over(Window.partitionBy())
     parts = each.agg(F.sum("contribution").alias("total"))  # one row; no window over the whole table
-    del total
     return each.crossJoin(F.broadcast(parts)).select(
         "theory", "n", "contribution", F.when(F.col("total") > 0, F.col("contribution") / F.col("total")).otherwise(0.0).alias("share")
     )
@@ -39,12 +37,17 @@ def sibling_imbalance(nodes: DataFrame) -> DataFrame:
     at least if the median of the others is 0.
     """
     load = nodes.withColumn("load", F.when(F.col("target") > 0, F.col("n") / F.col("target")).otherwise(F.col("n").cast("double")))
-    fam = load.groupBy("parent").agg(F.array_sort(F.collect_list("load")).alias("loads"), F.stddev_pop("load").alias("sd"))
-    j = load.join(fam, "parent").where(F.size("loads") > 1)
-    m = F.size("loads") - 1  # the others, one copy of the own load left out
-    at = F.array_position("loads", F.col("load")).cast("int") - 1
-    pick = lambda i: F.get("loads", F.when(i < at, i).otherwise(i + 1))
-    lo, hi = F.floor((m - 1) / 2).cast("int"), F.floor(m / 2).cast("int")
+    fam = load.groupBy("parent").agg(F.stddev_pop("load").alias("sd"), F.count("*").alias("k")).where("k > 1")
+    at = F.row_number().over(Window.partitionBy("parent").orderBy("load", "theory")) - 1
+    ranked = load.withColumn("at", at).join(fam, "parent")
+    # the median of the others hangs on at most four places around the middle, whatever the size of the family
+    m = F.col("k") - 1
+    lo, hi = F.floor((m - 1) / 2), F.floor(m / 2)
+    middle = ranked.where(F.col("at").between(lo, hi + 1)).groupBy("parent").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("at").cast("bigint"), "load"))).alias("mid")
+    )
+    j = ranked.join(middle, "parent")
+    pick = lambda i: F.element_at("mid", F.when(i < F.col("at"), i).otherwise(i + 1))
     median = (pick(lo) + pick(hi)) / 2
     base = F.greatest(F.lit(0.3), F.col("sd"))
     return (

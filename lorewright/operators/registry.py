@@ -1,68 +1,64 @@
 """Building a registry of names in order of appearance, and small sequential helpers.
 
-The registry is a fold: each name is resolved against what the earlier names
-made. Distinct names are found by the cluster; the fold runs over blocks of names that share
-their first word, so no two names of different blocks are ever compared.
+Names of one slug or of the same words in any order are one entry. The rest is
+compared in sorted order, forwards and by words turned round: each name with the next
+few, by matching-blocks similarity. What is similar enough is linked, links are followed to
+connected components, and the earliest name of a component is its entry. A
+sequential fold joins each name to the best earlier entry only; the two differ where
+similar names form chains.
 """
 
 from __future__ import annotations
 
 import difflib
-import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lorewright.functions.text import clean_label, slug
+from lorewright.operators.components import connected_components
+from lorewright.operators.ranking import two_level_rank
+from lorewright.session import cut, spread
 
 
-def fold_names(names: list[str], ratio: float = 0.9) -> list[int]:
-    """For each name the index of the entry it joins: by slug, by words in any order, by similarity, else its own."""
-    by_slug: dict[str, int] = {}
-    by_words: dict[str, int] = {}
-    entries: list[tuple[int, str]] = []
-    out = []
-    for i, name in enumerate(names):
-        low = name.lower()
-        s = re.sub(r"[^a-z0-9]+", "-", low).strip("-")
-        w = " ".join(sorted(x for x in re.split(r"[^a-z0-9]+", low) if x))
-        hit = by_slug.get(s, by_words.get(w))
-        if hit is None:
-            best = max(((difflib.SequenceMatcher(None, low, n.lower()).ratio(), -k, k) for k, n in entries), default=(0.0, 0, -1))
-            hit = best[2] if best[0] >= ratio else None
-        if hit is None:
-            hit = i
-            entries.append((i, name))
-        by_slug.setdefault(s, hit)
-        by_words.setdefault(w, hit)
-        out.append(hit)
-    return out
-
-
-def build_registry(mentions: DataFrame, ratio: float = 0.9) -> DataFrame:
-    """``label, canonical, theory_id, mentions``; mentions: label, ordinal. Blocks are the first words of names."""
+def build_registry(mentions: DataFrame, ratio: float = 0.9, window: int = 8, block: int = 512) -> DataFrame:
+    """``label, canonical, theory_id, mentions``; mentions: label, ordinal."""
     named = mentions.withColumn("label", clean_label("label")).where("label <> ''")
     once = named.groupBy("label").agg(F.min("ordinal").alias("ordinal"), F.count("*").alias("mentions"))
-    block = F.regexp_extract(F.lower("label"), r"([a-z0-9]+)", 1)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for items in b["items"]:
-                labels = [x["label"] for x in items]
-                for x, k in zip(items, fold_names(labels, ratio), strict=True):
-                    rows.append((x["label"], labels[k], x["mentions"]))
-            yield pd.DataFrame(rows, columns=["label", "canonical", "mentions"])
-
-    folded = (
-        once.groupBy(block.alias("block"))
-        .agg(F.array_sort(F.collect_list(F.struct("ordinal", "label", "mentions"))).alias("items"))
-        .select("items")
-        .mapInPandas(run, "label string, canonical string, mentions bigint")
+    words = F.filter(F.split(F.lower("label"), "[^a-z0-9]+"), lambda w: w != "")
+    entry = cut(once.withColumn("sig", F.coalesce(F.nullif(F.array_join(F.array_sort(words), " "), F.lit("")), F.lower("label"))))
+    # one name per signature goes on: the earliest
+    heads = cut(entry.groupBy("sig").agg(F.min(F.struct("ordinal", "label")).alias("h")).select("sig", F.col("h.ordinal").alias("ordinal"), F.col("h.label").alias("label")))
+    low = F.lower("label")
+    orders = F.array(
+        F.struct(F.lit("forwards").alias("o"), low.alias("s")),
+        F.struct(F.lit("backwards").alias("o"), F.array_join(F.reverse(F.split(low, " ")), " ").alias("s")),
+    )
+    thin = heads.select("ordinal", "label", F.explode(orders).alias("x")).select("ordinal", "label", "x.o", "x.s")
+    placed = cut(thin.repartitionByRange("o", "s", "ordinal").withColumn("_b", F.spark_partition_id()))
+    ranked = two_level_rank(placed, ["o"], "_b", ["s", "ordinal"])
+    g = F.floor(F.col("rank") / block)
+    blocks = ranked.select("*", F.explode(F.when((F.col("rank") % block < window) & (F.col("rank") >= block), F.array(g, g - 1)).otherwise(F.array(g))).alias("g"))
+    w = Window.partitionBy("o", "g").orderBy("rank")
+    near = blocks.select("ordinal", "label", "rank", "g", F.array(*[F.lead(F.struct("ordinal", "label"), i).over(w) for i in range(1, window + 1)]).alias("ns"))
+    pairs = near.where(F.floor(F.col("rank") / block) == F.col("g")).select(
+        F.col("ordinal").alias("a"), F.lower("label").alias("x"), F.explode(F.filter("ns", lambda n: n.isNotNull())).alias("n")
+    ).select("a", "x", F.col("n.ordinal").alias("b"), F.lower("n.label").alias("y")).distinct()
+    # lengths bound the ratio from above, so most pairs need no Python
+    shorter, longer = F.least(F.length("x"), F.length("y")), F.greatest(F.length("x"), F.length("y"))
+    likely = spread(pairs.where(2 * shorter / (shorter + longer) >= ratio), "a", "b")
+    linked = similarity(likely, "x", "y").where(F.col("ratio") >= ratio)
+    merged = connected_components(linked.select("a", "b"))
+    named_heads = heads.select(F.col("ordinal").alias("component"), F.col("label").alias("canonical"))
+    final = (
+        heads.join(merged.withColumnRenamed("node", "ordinal"), "ordinal", "left")
+        .select("sig", F.coalesce("component", "ordinal").alias("component"))
+        .join(named_heads, "component")
+        .select("sig", "canonical")
     )
-    return folded.withColumn("theory_id", slug("canonical"))
+    return entry.join(final, "sig").select("label", "canonical", slug("canonical").alias("theory_id"), "mentions")
 
 
 def overlapping_windows(text: str, size: int, overlap: int) -> list[str]:
