@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lorewright.functions import payload as PL
 from lorewright.functions import text as T
 from lorewright.operators import bookkeeping as B
+from lorewright.operators import bootstrap as BS
 from lorewright.operators import coverage as V
 from lorewright.operators import relevance as R
 from lorewright.plans.text_queries import t
@@ -259,3 +260,30 @@ def str_late_rows(spark, sf):
     return table(spark, sf, "question_answers").where("answered_at IS NOT NULL").groupBy(F.date_trunc("month", "answered_at").cast("timestamp_ntz").alias("month")).agg(
         F.count("*").alias("answers"), F.count_if(late).alias("late")
     )
+
+
+@query("tree_review_trees")
+def tree_review_trees(spark, sf):
+    """Registry entries written out as reviews would, and read back with the parts listed near them."""
+    o = table(spark, sf, "aging_ontology")
+    text = F.concat(F.lit("The "), "label", F.lit(" has subtheories: "), F.array_join(F.coalesce("aliases", F.array().cast("array<string>")), "; "))
+    none = F.lit(None).cast("array<struct<title:string,text:string>>")
+    return BS.review_trees(o.select(F.col("theory_id").alias("identifier"), F.lit("").alias("title"), text.alias("full_text"), none.alias("sections"), F.lit(None).cast("string").alias("abstract")))
+
+
+@query(
+    "tree_suggested_queries",
+    f"""WITH v AS (SELECT group_name AS grp, label, theory_id, list_filter([{t("label")}, CASE WHEN contains({t("label")}, ' ') THEN '"' || {t("label")} || '"' END,
+  CASE WHEN NOT contains(lower(label), 'aging') AND NOT contains(lower(label), 'ageing') THEN {t("label")} || ' aging' END,
+  CASE WHEN NOT contains(lower(label), 'theory') THEN {t("label")} || ' theory' END], lambda x: x IS NOT NULL) AS v FROM aging_ontology WHERE group_name IS NOT NULL),
+e AS (SELECT grp, label, theory_id, v[i] AS query, i FROM (SELECT grp, label, theory_id, v, unnest(range(1, len(v) + 1)) AS i FROM v)),
+d AS (SELECT *, row_number() OVER (PARTITION BY grp, lower(query) ORDER BY theory_id, label, i) AS r FROM e),
+k AS (SELECT grp, query, row_number() OVER (PARTITION BY grp ORDER BY theory_id, label, i) AS rank FROM d WHERE r = 1)
+SELECT grp, query, rank FROM k WHERE rank <= 10""",
+)
+def tree_suggested_queries(spark, sf):
+    """Ten queries a group: a report."""
+    o = table(spark, sf, "aging_ontology").where("group_name IS NOT NULL")
+    groups = o.select(F.col("group_name").alias("grp")).distinct().select("grp", F.col("grp").alias("descendant"), F.lit(0).alias("distance"))
+    terms = o.select(F.col("group_name").alias("grp"), F.col("label").alias("term"), F.col("theory_id").alias("ordinal"))
+    return BS.suggested_queries(groups, terms)
