@@ -9,8 +9,8 @@ another word of the list than to the winner's. Abbreviations must agree exactly.
 
 A list of up to ``SHARD`` names is one tree, broadcast to the workers; a longer
 one is split into shards of that size, each matched in turn, and the shard
-winners are merged by distance. Values need no shuffle: each worker keeps what it
-has already resolved, so a value typed a million times costs one search.
+winners are merged by distance. Each distinct text is searched for once and joined back to the
+ids that bear it; adaptive execution splits the rows of a text that very many bear.
 
 Defined results: rows of null id are ignored; null, blank and unmatched values map to the empty string; of
 equally near entries the smallest id wins only if all words agree; an empty
@@ -210,6 +210,9 @@ class Matcher:
             return (next(iter(self.short[joined])), 0) if len(self.short[joined]) == 1 else ("", -1)
         if joined in self.exact:
             return min(self.exact[joined]), 0
+        # words of the list stand for themselves, so without a misspelt word no other entry can agree
+        if all(w in self.vocabulary for w in core):
+            return "", -1
         # an entry differs from a far longer value by more than any radius
         if len(joined) <= 5 or len(joined) > self.longest + 6 or not any(levenshtein(core[0], v) <= slack(v) for v in self.first):
             return "", -1
@@ -233,9 +236,9 @@ def reference_names(registry: DataFrame) -> DataFrame:
 
 def map_values(values: DataFrame, id_col: str, text_col: str, names: DataFrame) -> DataFrame:
     """One row per distinct id: ``<id_col>, match, distance``; no match is '' and -1."""
-    kind = values.schema[id_col].dataType.simpleString()
     each = values.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("k"), F.col(text_col).alias("t"))
-    one = spread(each, "k").groupBy("k").agg(F.min("t").alias("t"))
+    one = each.groupBy("k").agg(F.coalesce(F.min("t"), F.lit("")).alias("t"))
+    texts = spread(one.select("t"), "t").distinct()
     total = names.count()
     shards = max(1, -(-total // SHARD))
     parts = None
@@ -248,11 +251,11 @@ def map_values(values: DataFrame, id_col: str, text_col: str, names: DataFrame)
             matcher = Matcher(shared.value)
             for b in batches:
                 got = [matcher.match(t) for t in b["t"]]
-                yield pd.DataFrame({"k": b["k"], "match": [g[0] for g in got], "distance": [g[1] for g in got]})
+                yield pd.DataFrame({"t": b["t"], "match": [g[0] for g in got], "distance": [g[1] for g in got]})
 
-        part = one.mapInPandas(run, f"k {kind}, match string, distance int")
+        part = texts.mapInPandas(run, "t string, match string, distance int")
         parts = part if parts is None else parts.unionByName(part)
     if shards > 1:
         rank = F.struct((F.col("distance") < 0).alias("miss"), "distance", "match")
-        parts = parts.groupBy("k").agg(F.min(rank).alias("m")).select("k", "m.match", "m.distance")
-    return parts.withColumnRenamed("k", id_col)
+        parts = parts.groupBy("t").agg(F.min(rank).alias("m")).select("t", "m.match", "m.distance")
+    return one.join(parts, "t").select(F.col("k").alias(id_col), "match", "distance")
