@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +14,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per context.
+
+    The driver serves the archive to every executor, also to ones that start later,
+    so the workers need no copy of the code on their path.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_lorewright_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="lorewright-code-")) / "lorewright.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._lorewright_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable.
 
