@@ -98,9 +98,13 @@ def profiles(rows: DataFrame, ent: DataFrame) -> DataFrame:
         F.collect_set("year").alias("years"), F.collect_set("journal").alias("journals"),
         F.bool_or(F.col("doi").isNotNull()).alias("has_d"), F.bool_or(F.col("pmid").isNotNull()).alias("has_p"),
         F.bool_or(F.col("src") == "A").alias("has_a"), F.bool_and(F.col("src") == "O").alias("only_o"),
-        F.collect_set(F.nullif("doi_part", F.lit(""))).alias("dois"), F.collect_set(F.nullif(F.coalesce("pmid", "pmid_part"), F.lit(""))).alias("pmids"),
     )
-    titles = each.select("entity", _words(_fold(F.col("title"))).alias("w"), _words(lead).alias("lead")).where(F.size("w") > 0).distinct()
+    # what is left of identifiers goes with the title it stands beside, so that it stays short in a large entity
+    parts = each.select(
+        "entity", _words(_fold(F.col("title"))).alias("w"), _words(lead).alias("lead"),
+        F.nullif("doi_part", F.lit("")).alias("d"), F.nullif(F.coalesce("pmid", "pmid_part"), F.lit("")).alias("p"),
+    )
+    titles = parts.where(F.size("w") > 0).groupBy("entity", "w", "lead").agg(F.collect_set("d").alias("dois"), F.collect_set("p").alias("pmids"))
     return titles.join(by_entity, "entity").withColumn("rid", F.xxhash64("entity", "w", "lead"))
 
 
