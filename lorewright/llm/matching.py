@@ -1,9 +1,9 @@
 """Matching records of one article across sources that share no identifier.
 
-Keys of the three tables that are tied by usable identifiers form entities. Their
-distinct titles are sorted by several composite keys (title forwards, title
-backwards, first author, last author); in each order every title is compared with the next
-few. A pair is scored by weighted field similarities: title (equal, misspelt, or
+Keys of the three tables that are tied by usable identifiers form entities. Equal titles
+are joined. The distinct titles are sorted by several composite keys (title forwards, title
+backwards, first author, last author); in each order every one is compared with the next
+few, and with it all records that bear it. A pair is scored by weighted field similarities: title (equal, misspelt, or
 without subtitle), authors, year (each off by one at most), journal, remains of identifiers. Entities
 that both bear a DOI, a PubMed id or a paper are different articles by that
 alone and are never compared further. Among the rest an auction assigns PubMed-only to
@@ -12,7 +12,8 @@ an entity without any identifier joins its best partner.
 
 Defined results: a null or blank title takes no part; null years, authors and
 journals are neutral; repeated rows change nothing; ties go to the smaller key;
-identical titles of one entity are one record, so copies do not fill the windows.
+identical titles of one entity are one record, and works equal in all that is scored hang
+on one of them, so copies do not fill the windows.
 """
 
 from __future__ import annotations
@@ -128,37 +129,112 @@ def _similar_words(a: str, b: str) -> Column:
     )
 
 
-def candidate_pairs(recs: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
-    """Scored pairs of entities ``e1 < e2, conf`` from sliding windows over every sort order.
+def collapse_copies(recs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records without copies, links ``l, r, conf`` of copies to their hub).
 
-    Ranks are global; a block also takes the first rows of the next, so no window is broken.
+    Works without any identifier that are equal in all that is scored are one article
+    however many they are; the smallest, their hub, alone goes on.
     """
-    names = ["entity", "w", "lead", "people", "years", "journals", "has_d", "has_p", "has_a", "only_o", "dois", "pmids"]
-    thin = recs.select("rid", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.substring(c, 1, 80).alias("s")) for k, c in _sort_keys().items()])).alias("x")).select("rid", "x.k", "x.s")
-    placed = cut(thin.repartitionByRange("k", "s", "rid").withColumn("_b", F.spark_partition_id()))
-    ranked = two_level_rank(placed, ["k"], "_b", ["s", "rid"])
-    blocks = ranked.select(
-        "k", "rid", "rank",
-        F.explode(F.when((F.col("rank") % block < window) & (F.col("rank") >= block), F.array(F.floor(F.col("rank") / block), F.floor(F.col("rank") / block) - 1)).otherwise(F.array(F.floor(F.col("rank") / block)))).alias("g"),
+    alone = recs.groupBy("entity").agg(F.count("*").alias("n")).where("n = 1").select("entity")
+    lone = recs.where("only_o AND NOT has_d AND NOT has_p").join(alone, "entity", "left_semi")
+    sets = [F.sort_array(c) for c in ("years", "journals", "dois", "pmids")]
+    group = F.xxhash64("w", "lead", "people", *sets)
+    hubs = lone.groupBy(group.alias("h"), "w", "lead", "people", *[s.alias(n) for s, n in zip(sets, ("years", "journals", "dois", "pmids"), strict=True)]).agg(
+        F.min("entity").alias("hub"), F.collect_list("entity").alias("es")
+    )
+    many = hubs.where(F.size("es") > 1)
+    half = lambda known, full: F.when(known, full).otherwise(full / 2)
+    conf = (
+        0.55 + half(F.size("people") > 0, F.lit(0.25)) + half(F.size("years") > 0, F.lit(0.12)) + half(F.size("journals") > 0, F.lit(0.08))
+        + F.when(F.size("dois") > 0, 0.03).otherwise(0.0)
     )
-    wide = blocks.join(recs, "rid").select("k", "g", "rank", F.struct(*names).alias("r"))
+    links = cut(
+        many.select(F.explode("es").alias("l"), F.col("hub").alias("r"), F.round(F.least(F.lit(1.0), conf), 6).alias("conf")).where("l <> r")
+    )
+    return recs.join(links.select(F.col("l").alias("entity")), "entity", "left_anti"), links
+
+
+def _near_titles(keys: DataFrame, window: int, block: int) -> DataFrame:
+    """``ka, kb, title`` of keys of different titles, from sliding windows over every sort order.
+
+    A window slides over distinct sort keys and all their members are compared, so runs of equal
+    keys do not fill it. Ranks are global; a block also takes the first rows of the next, so no
+    window is broken.
+    """
+    title_id = F.xxhash64("w", "lead")
+    orders = [F.struct(F.lit(k).alias("k"), F.substring(c, 1, 80).alias("s"), F.xxhash64(F.lit(k), c, "lead").alias("i")) for k, c in _sort_keys().items()]
+    thin = keys.select("kid", title_id.alias("t"), F.explode(F.array(*orders)).alias("x")).select("kid", "t", "x.*")
+    members = thin.select("kid", "i")
+    titles = keys.select(title_id.alias("t"), F.struct("w", "lead").alias("r")).dropDuplicates(["t"])
+    # equal keys lie in one partition, so that grouping them moves nothing
+    items = thin.select("k", "s", "i", "t").repartitionByRange("k", "s", "i").groupBy("k", "s", "i").agg(F.min("t").alias("t"))
+    placed = cut(items.withColumn("_b", F.spark_partition_id()))
+    ranked = two_level_rank(placed, ["k"], "_b", ["s", "i"])
+    g = F.floor(F.col("rank") / block)
+    blocks = ranked.select("k", "i", "t", "rank", F.explode(F.when((F.col("rank") % block < window) & (F.col("rank") >= block), F.array(g, g - 1)).otherwise(F.array(g))).alias("g"))
+    blocks = blocks.join(titles, "t").drop("t")
     w = Window.partitionBy("k", "g").orderBy("rank")
-    near = wide.select("r", "rank", "g", F.array(*[F.lead("r", i).over(w) for i in range(1, window + 1)]).alias("ns"))
-    a, b = F.col("r"), F.col("n")
-    pairs = (
+    near = blocks.select("i", "r", "rank", "g", F.array(*[F.lead(F.struct("i", "r"), n).over(w) for n in range(1, window + 1)]).alias("ns"))
+    flat = (
         near.where(F.floor(F.col("rank") / block) == F.col("g"))
-        .select("r", F.explode(F.filter("ns", lambda n: n.isNotNull() & (n["entity"] != F.col("r.entity")) & ~(n["has_d"] & F.col("r.has_d")) & ~(n["has_p"] & F.col("r.has_p")) & ~(n["has_a"] & F.col("r.has_a")))).alias("n"))
+        .select("i", "r", F.explode(F.filter("ns", lambda n: n.isNotNull() & (n["r"]["w"] != F.col("r.w")))).alias("n"))
+        .select(F.col("i").alias("ia"), F.col("n.i").alias("ib"), F.col("r.w").alias("w_a"), F.col("r.lead").alias("lead_a"), F.col("n.r.w").alias("w_b"), F.col("n.r.lead").alias("lead_b"))
     )
-    flat = pairs.select(
-        F.least(a["entity"], b["entity"]).alias("e1"), F.greatest(a["entity"], b["entity"]).alias("e2"),
-        *[a[x].alias(f"{x}_a") for x in names[1:]], *[b[x].alias(f"{x}_b") for x in names[1:]],
-    )
-    same = F.col("w_a") == F.col("w_b")
     no_lead_a, no_lead_b = F.size("lead_a") == 0, F.size("lead_b") == 0
     short = (no_lead_b & (F.size("lead_a") > 3) & _similar_words("lead_a", "w_b")) | (no_lead_a & (F.size("lead_b") > 3) & _similar_words("lead_b", "w_a"))
-    title = F.when(same, 1.0).when(_similar_words("w_a", "w_b"), 0.95).when(short, 0.85)
+    title = F.when(_similar_words("w_a", "w_b"), 0.95).when(short, 0.85)
+    alike = flat.select("ia", "ib", title.alias("title")).where("title IS NOT NULL")
+    return (
+        alike.join(members.select(F.col("kid").alias("ka"), F.col("i").alias("ia")), "ia")
+        .join(members.select(F.col("kid").alias("kb"), F.col("i").alias("ib")), "ib")
+        .select(F.least("ka", "kb").alias("ka"), F.greatest("ka", "kb").alias("kb"), "title")
+        .distinct()
+    )
+
+
+def _equal_titles(keys: DataFrame) -> DataFrame:
+    """``ka, kb, title`` of all keys of one title that share a person or of which one names none."""
+    thin = keys.select("kid", F.xxhash64("w").alias("t"), F.array_distinct("people").alias("people"))
+    each = thin.where(F.size("people") > 0).select("kid", F.explode(F.transform("people", lambda x: F.xxhash64("t", x))).alias("x"))
+    nameless = thin.where(F.size("people") == 0).select(F.col("kid").alias("ka"), "t")
+    a, b = each.withColumnRenamed("kid", "ka"), each.withColumnRenamed("kid", "kb")
+    return (
+        a.join(b, "x").where("ka < kb").select("ka", "kb")
+        .unionByName(nameless.join(thin.select(F.col("kid").alias("kb"), "t"), "t").where("ka <> kb").select(F.least("ka", "kb").alias("ka"), F.greatest("ka", "kb").alias("kb")))
+        .distinct()
+        .withColumn("title", F.lit(1.0))
+    )
+
+
+def candidate_pairs(recs: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
+    """Scored pairs of entities ``e1 < e2, conf, same``; same: of equal title and equal known authors.
+
+    Records are grouped by title and authors. Equal titles are joined, others meet in windows.
+    """
+    recs = recs.withColumn("kid", F.xxhash64("w", "lead", "people"))
+    keys = cut(recs.select("kid", "w", "lead", "people").dropDuplicates(["kid"]))
+    several = recs.groupBy("kid").agg(F.count("*").alias("n")).where("n > 1").select(F.col("kid").alias("ka"), F.col("kid").alias("kb"), F.lit(1.0).alias("title"))
+    near = _near_titles(keys, window, block).unionByName(_equal_titles(keys)).unionByName(several)
+    side = lambda df, x: df.select(*[F.col(c).alias(f"{c}_{x}") for c in df.columns])
+    people = keys.select("kid", "people")
     known = (F.size("people_a") > 0) & (F.size("people_b") > 0)
     persons = F.size(F.array_intersect("people_a", "people_b")) / F.least(F.size(F.array_distinct("people_a")), F.size(F.array_distinct("people_b")))
+    met = (
+        near.join(side(people, "a"), F.col("ka") == F.col("kid_a"))
+        .join(side(people, "b"), F.col("kb") == F.col("kid_b"))
+        .withColumn("persons", F.when(known, persons))
+        .where("(persons IS NULL AND title >= 0.95) OR persons >= 0.5")
+        .withColumn("same", known & (F.col("title") == 1.0) & (F.col("people_a") == F.col("people_b")))
+        .select("ka", "kb", "title", "persons", "same")
+    )
+    rest_of = recs.select("kid", "entity", "years", "journals", "has_d", "has_p", "has_a", "dois", "pmids")
+    flat = (
+        met.join(side(rest_of, "a"), F.col("ka") == F.col("kid_a"))
+        .join(side(rest_of, "b"), F.col("kb") == F.col("kid_b"))
+        .where("entity_a <> entity_b AND (ka <> kb OR entity_a < entity_b)")
+        .where("NOT (has_d_a AND has_d_b) AND NOT (has_p_a AND has_p_b) AND NOT (has_a_a AND has_a_b)")
+        .withColumns({"e1": F.least("entity_a", "entity_b"), "e2": F.greatest("entity_a", "entity_b")})
+    )
     gap = F.array_min(F.flatten(F.transform("years_a", lambda x: F.transform("years_b", lambda y: F.abs(x - y)))))
     year = F.when(gap.isNull(), 0.5).when(gap == 0, 1.0).when(gap == 1, 0.8).when(gap == 2, 0.3)
     journal = F.when((F.size("journals_a") == 0) | (F.size("journals_b") == 0), 0.5).when(
@@ -166,14 +242,14 @@ def candidate_pairs(recs: DataFrame, window: int = WINDOW, block: int = BLOCK) -
     ).otherwise(0.0)
     left = F.exists("pmids_a", lambda x: F.exists("pmids_b", lambda y: (F.length(x) >= 6) & (F.length(y) >= 6) & (F.abs(F.length(x) - F.length(y)) == 1) & (F.levenshtein(x, y) == 1)))
     rest = F.when(left, 0.05).otherwise(0.0) + F.when(F.arrays_overlap("dois_a", "dois_b"), 0.03).otherwise(0.0)
-    scored = flat.withColumns({"title": title, "persons": F.when(known, persons), "year": year, "journal": journal, "rest": rest})
+    scored = flat.withColumns({"year": year, "journal": journal, "rest": rest})
     conf = 0.55 * F.col("title") + 0.25 * F.coalesce("persons", F.lit(0.5)) + 0.12 * F.col("year") + 0.08 * F.col("journal") + F.col("rest")
     return (
-        scored.where("title IS NOT NULL AND year IS NOT NULL AND (persons IS NULL OR persons >= 0.5)")
+        scored.where("year IS NOT NULL")
         .withColumn("conf", F.round(F.least(F.lit(1.0), conf), 6))
-        .where((F.col("conf") >= THRESHOLD) & (F.col("persons").isNotNull() | (F.col("title") >= 0.95)))
+        .where(F.col("conf") >= THRESHOLD)
         .groupBy("e1", "e2")
-        .agg(F.max("conf").alias("conf"))
+        .agg(F.max("conf").alias("conf"), F.bool_or("same").alias("same"))
     )
 
 
@@ -218,9 +294,10 @@ def match(pubmed: DataFrame, openalex: DataFrame, papers: DataFrame) -> tuple[Da
     rows = cut(source_rows(pubmed, openalex, papers))
     ent = cut(entities(rows))
     recs = cut(profiles(rows, ent))
-    pairs = cut(candidate_pairs(recs))
+    lead, copies = collapse_copies(recs)
+    pairs = cut(candidate_pairs(lead))
     kinds = recs.groupBy("entity").agg(F.max("has_d").alias("d"), F.max("has_p").alias("p"), F.max("has_a").alias("a"), F.max("only_o").alias("o"))
-    both = pairs.select(F.col("e1").alias("l"), F.col("e2").alias("r"), "conf").unionByName(pairs.select(F.col("e2").alias("l"), F.col("e1").alias("r"), "conf"))
+    both = pairs.select(F.col("e1").alias("l"), F.col("e2").alias("r"), "conf", "same").unionByName(pairs.select(F.col("e2").alias("l"), F.col("e1").alias("r"), "conf", "same"))
     full = cut(
         both.join(kinds.select(F.col("entity").alias("l"), F.col("d").alias("ld"), F.col("p").alias("lp"), F.col("a").alias("la"), F.col("o").alias("lo")), "l")
         .join(kinds.select(F.col("entity").alias("r"), F.col("d").alias("rd"), F.col("p").alias("rp"), F.col("a").alias("ra"), F.col("o").alias("ro")), "r")
@@ -229,10 +306,15 @@ def match(pubmed: DataFrame, openalex: DataFrame, papers: DataFrame) -> tuple[Da
     free = full.where("NOT lp AND NOT ld")
     # a paper without a DOI is one article; what it joins must not hold another paper
     two = assign(free.where("la AND NOT ra AND (rd OR rp)").select("l", "r", "conf"))
-    # works without any identifier may be several copies of one article: each to its best
+    # works without any identifier may be several copies of one article: each to its best, and to the best of
+    # those with an identifier or paper if one of its own title and authors is among them
+    own = F.bool_or(F.expr("same AND (rd OR rp OR ra)")).over(Window.partitionBy("l"))
     pick = F.max(F.struct("conf", F.expr("struct(rd OR rp, ra)").alias("pref"), "r"))
-    three = free.where("lo").groupBy("l").agg(pick.alias("b")).select("l", F.col("b.r").alias("r"), F.col("b.conf").alias("conf"))
-    accepted = cut(one.unionByName(two).unionByName(three))
+    three = (
+        free.where("lo").withColumn("own", own).where("NOT own OR rd OR rp OR ra")
+        .groupBy("l").agg(pick.alias("b")).select("l", F.col("b.r").alias("r"), F.col("b.conf").alias("conf"))
+    )
+    accepted = cut(one.unionByName(two).unionByName(three).unionByName(copies))
     merged = connected_components(accepted.select("l", "r"))
     article = ent.join(merged.withColumnRenamed("node", "entity"), "entity", "left").select("node", "entity", F.coalesce("component", "entity").alias("article"))
     return rows, article, accepted

@@ -95,6 +95,17 @@ def test_articles_without_common_keys(spark):
     assert got == {("40000001", "W1"), ("40000001", "paper-1"), ("W1", "paper-1"), ("W2", "paper-1")}
 
 
+def test_any_number_of_copies_joins_its_article(spark):
+    t = "Caloric restriction and stress responses in old mice"
+    p = spark.createDataFrame([("40000001", t, ["Bond, Ann", "Dole, Cy"], "2001", None, None, "x", 1)], P)
+    years = lambda i: str(2000 + i % 3)
+    copies = [(f"W{i:03}", None, t, ["Ann Bond", "Cy Dole"], years(i), f"Journal {'abcdefghij'[i % 10] * 3}", None, "x", 1) for i in range(90)]
+    misspelt = [(f"X{i:03}", None, t.replace("mice", "micee"), ["Ann Bond", "Cy Dole"], "2001", None, None, "x", 1) for i in range(30)]
+    rows, article, _ = matching.match(p, spark.createDataFrame(copies + misspelt, O), spark.createDataFrame([], A))
+    got = {(r["key_a"], r["key_b"]) for r in matching.untied_pairs(rows, article).collect()}
+    assert got == {("40000001", r[0]) for r in copies + misspelt}
+
+
 def test_matching_nothing(spark):
     rows, article, acc = matching.match(spark.createDataFrame([], P), spark.createDataFrame([], O), spark.createDataFrame([], A))
     assert matching.untied_pairs(rows, article).count() == 0 and acc.count() == 0
