@@ -1,8 +1,8 @@
 """Building a registry of names in order of appearance, and small sequential helpers.
 
 Names of one slug or of the same words in any order are one entry. The rest is
-compared in sorted order, forwards and by words turned round: each name with the next
-few, by matching-blocks similarity. What is similar enough is linked, links are followed to
+compared each with all by matching-blocks similarity, after bounds that lose no similar
+pair. What is similar enough is linked, links are followed to
 connected components, and the earliest name of a component is its entry. A
 sequential fold joins each name to the best earlier entry only; the two differ where
 similar names form chains.
@@ -13,8 +13,9 @@ from __future__ import annotations
 import difflib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lorewright.functions.text import clean_label, slug
@@ -23,7 +24,71 @@ from lorewright.operators.ranking import two_level_rank
 from lorewright.session import cut, spread
 
 
-def build_registry(mentions: DataFrame, ratio: float = 0.9, window: int = 8, block: int = 512) -> DataFrame:
+#: Names per block, and buckets of bigrams; neither bears on the result.
+BLOCK, BUCKETS = 2048, 512
+
+
+def _bigrams(names: list[str]) -> np.ndarray:
+    """Counts of each name's bigrams, hashed to buckets; what two names share is at most the product of their rows."""
+    out = np.zeros((len(names), BUCKETS), dtype=np.float32)
+    for i, s in enumerate(names):
+        for p, q in zip(s, s[1:], strict=False):
+            out[i, (ord(p) * 1009 + ord(q)) % BUCKETS] += 1
+    return out
+
+
+def _least_shared(la: np.ndarray, lb: np.ndarray, ratio: float) -> np.ndarray:
+    """Bigrams that names of these lengths share at least if their ratio is reached.
+
+    The matching blocks hold m = ratio * (la + lb) / 2 characters or more, so m - 1 neighbours in their
+    row; each character that is left out of either name parts at most one of these.
+    """
+    m = np.ceil(ratio * (la + lb) / 2 - 1e-9)
+    return m - 1 - (la - m) - (lb - m)
+
+
+def similar_names(names: DataFrame, ratio: float, block: int = BLOCK) -> DataFrame:
+    """``a, b`` of all names (ordinal, label) whose matching-blocks similarity without case reaches ``ratio``; a before b.
+
+    Names sorted by length are cut into blocks and all pairs of blocks are compared, but those whose lengths rule it
+    out. Bounds that hold for every similar pair (length, shared bigrams, shared characters) go before the exact test.
+    """
+    low = names.select("ordinal", F.lower("label").alias("s")).withColumn("n", F.length("s"))
+    placed = cut(low.repartitionByRange("n", "ordinal").withColumn("_b", F.spark_partition_id()).withColumn("o", F.lit(0)))
+    ranked = cut(two_level_rank(placed, ["o"], "_b", ["n", "ordinal"]).withColumn("g", F.floor(F.col("rank") / block)))
+    spans = ranked.groupBy("g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    x, y = spans.alias("x"), spans.alias("y")
+    # m is at most the shorter name
+    met = x.crossJoin(y).where("x.g <= y.g").where(F.col("x.hi") >= F.col("y.lo") * (ratio / (2 - ratio)) - 1e-6)
+    met = met.select(F.col("x.g").alias("gx"), F.col("y.g").alias("gy"))
+    sides = met.select("gx", "gy", F.explode(F.array_distinct(F.array("gx", "gy"))).alias("g"))
+    kind = names.schema["ordinal"].dataType.simpleString()
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        left, right = rows[rows["g"] == key[0]], rows[rows["g"] == key[1]]
+        ls, rs, lo, ro = left["s"].tolist(), right["s"].tolist(), left["ordinal"].tolist(), right["ordinal"].tolist()
+        ln, rn, rb = np.array([len(s) for s in ls]), np.array([len(s) for s in rs]), _bigrams(rs)
+        made = []
+        for at in range(0, len(ls), 512):
+            part = slice(at, at + 512)
+            la, lb = ln[part, None], rn[None, :]
+            fit = (2 * np.minimum(la, lb) >= ratio * (la + lb) - 1e-9) & (_bigrams(ls[part]) @ rb.T >= _least_shared(la, lb, ratio) - 0.5)
+            for i, j in zip(*np.nonzero(fit), strict=True):
+                i = int(i) + at
+                if key[0] == key[1] and i >= j:
+                    continue
+                (a, p), (b, q) = sorted([(lo[i], ls[i]), (ro[j], rs[j])])
+                # as a new name is held against an earlier one
+                m = difflib.SequenceMatcher(None, q, p)
+                if m.quick_ratio() >= ratio and m.ratio() >= ratio:
+                    made.append((a, b))
+        return pd.DataFrame(made, columns=["a", "b"])
+
+    blocks = spread(ranked.join(sides, "g").select("gx", "gy", "g", "ordinal", "s"), "gx", "gy")
+    return blocks.groupBy("gx", "gy").applyInPandas(run, f"a {kind}, b {kind}")
+
+
+def build_registry(mentions: DataFrame, ratio: float = 0.9) -> DataFrame:
     """``label, canonical, theory_id, mentions``; mentions: label, ordinal."""
     named = mentions.withColumn("label", clean_label("label")).where("label <> ''")
     once = named.groupBy("label").agg(F.min("ordinal").alias("ordinal"), F.count("*").alias("mentions"))
@@ -31,25 +96,7 @@ def build_registry(mentions: DataFrame, ratio: float = 0.9, window: int = 8, blo
     entry = cut(once.withColumn("sig", F.coalesce(F.nullif(F.array_join(F.array_sort(words), " "), F.lit("")), F.lower("label"))))
     # one name per signature goes on: the earliest
     heads = cut(entry.groupBy("sig").agg(F.min(F.struct("ordinal", "label")).alias("h")).select("sig", F.col("h.ordinal").alias("ordinal"), F.col("h.label").alias("label")))
-    low = F.lower("label")
-    orders = F.array(
-        F.struct(F.lit("forwards").alias("o"), low.alias("s")),
-        F.struct(F.lit("backwards").alias("o"), F.array_join(F.reverse(F.split(low, " ")), " ").alias("s")),
-    )
-    thin = heads.select("ordinal", "label", F.explode(orders).alias("x")).select("ordinal", "label", "x.o", "x.s")
-    placed = cut(thin.repartitionByRange("o", "s", "ordinal").withColumn("_b", F.spark_partition_id()))
-    ranked = two_level_rank(placed, ["o"], "_b", ["s", "ordinal"])
-    g = F.floor(F.col("rank") / block)
-    blocks = ranked.select("*", F.explode(F.when((F.col("rank") % block < window) & (F.col("rank") >= block), F.array(g, g - 1)).otherwise(F.array(g))).alias("g"))
-    w = Window.partitionBy("o", "g").orderBy("rank")
-    near = blocks.select("ordinal", "label", "rank", "g", F.array(*[F.lead(F.struct("ordinal", "label"), i).over(w) for i in range(1, window + 1)]).alias("ns"))
-    pairs = near.where(F.floor(F.col("rank") / block) == F.col("g")).select(
-        F.col("ordinal").alias("a"), F.lower("label").alias("x"), F.explode(F.filter("ns", lambda n: n.isNotNull())).alias("n")
-    ).select("a", "x", F.col("n.ordinal").alias("b"), F.lower("n.label").alias("y")).distinct()
-    # lengths bound the ratio from above, so most pairs need no Python
-    shorter, longer = F.least(F.length("x"), F.length("y")), F.greatest(F.length("x"), F.length("y"))
-    likely = spread(pairs.where(2 * shorter / (shorter + longer) >= ratio), "a", "b")
-    linked = similarity(likely, "x", "y").where(F.col("ratio") >= ratio)
+    linked = similar_names(heads, ratio)
     merged = connected_components(linked.select("a", "b"))
     named_heads = heads.select(F.col("ordinal").alias("component"), F.col("label").alias("canonical"))
     final = (

@@ -162,6 +162,36 @@ def test_registry_fold_joins_spellings(spark):
     assert got["Free Radical Theorie"] == "Free Radical Theory" and got["Rate of Living"] == "Rate of Living"
 
 
+def test_registry_compares_every_pair(spark):
+    import difflib
+    import itertools
+    import random
+
+    rnd = random.Random(5)
+    kinds, ends = ["somatic silencing", "proteostasis drift", "membrane decay", "redox imbalance"], ["theories of aging", "framework", "hypothesis of ageing", "model"]
+    names = ["ab", "ac", "a"]
+    for i in range(160):
+        s = list(f"{rnd.choice('abcdefgh')}{rnd.choice(kinds)} {rnd.choice(ends)}")
+        for _ in range(rnd.randint(0, 4)):
+            at = rnd.randrange(len(s))
+            s[at : at + 1] = rnd.choice(["", "x", s[at] * 2])
+        names.append("".join(s))
+    names = list(dict.fromkeys(names))
+    df = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "label string, ordinal int")
+    want = {(i, j) for i, j in itertools.combinations(range(len(names)), 2) if difflib.SequenceMatcher(None, names[j], names[i]).ratio() >= 0.9}
+    for block in (4096, 40):
+        assert {(r["a"], r["b"]) for r in RG.similar_names(df, 0.9, block).collect()} == want
+    assert len(want) > 300
+
+
+def test_registry_joins_names_far_apart_in_order(spark):
+    near = [f"somatic silencing theorem {c}{d} zq{d}{c}{d}{c}" for c in "abcdef" for d in "uvwxyz"]
+    pair = ["somaatic silencing theory of aging", "somatic silencing theories of aging"]
+    rows = [(n, i) for i, n in enumerate([*pair, *[f"soma{c}{d} unlike" for c in "abcdef" for d in "uvwx"], *near, *[f"{c}{d} silencing theories of aging" for c in "tuvwxyz" for d in "klmno"]])]
+    got = {r["label"]: r["canonical"] for r in RG.build_registry(spark.createDataFrame(rows, "label string, ordinal int")).collect()}
+    assert got[pair[1]] == pair[0]
+
+
 def test_windows_cover_the_text():
     text = " ".join(f"w{i}" for i in range(500))
     parts = RG.overlapping_windows(text, 200, 40)
