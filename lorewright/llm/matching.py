@@ -6,8 +6,8 @@ backwards, first author, last author); in each order every one is compared with
 few, and with it all records that bear it. A pair is scored by weighted field similarities: title (equal, misspelt, or
 without subtitle), authors, year (each off by one at most), journal, remains of identifiers. Entities
 that both bear a DOI, a PubMed id or a paper are different articles by that
-alone and are never compared further. Among the rest an auction assigns PubMed-only to
-DOI-only entities, and papers to the rest, one to one with the greatest total confidence;
+alone and are never compared further. Among the rest PubMed-only entities are assigned to
+DOI-only ones, and papers to the rest, one to one with the greatest total confidence;
 an entity without any identifier joins its best partner.
 
 Defined results: a null or blank title takes no part; null years, authors and
@@ -18,6 +18,9 @@ on one of them, so copies do not fill the windows.
 
 from __future__ import annotations
 
+import heapq
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -253,40 +256,67 @@ def candidate_pairs(recs: DataFrame, window: int = WINDOW, block: int = BLOCK) -
     )
 
 
-def assign(edges: DataFrame, step: float = 0.004, rounds: int = 60) -> DataFrame:
-    """One-to-one pairs ``l, r, conf`` of greatest total confidence, by auction.
-
-    Unmatched left ends bid for their best right end at its price; the best bid
-    wins and raises the price. The total is within ``step`` per pair of the optimum. Pairs
-    that compete with none are taken at once.
+def best_assignment(edges: list[tuple[str, str, float]]) -> list[tuple[str, str, float]]:
+    """One-to-one edges (l, r, conf) of greatest total confidence, by shortest augmenting paths over the sparse edges."""
+    conf: dict[tuple[str, str], float] = {}
+    for l, r, c in edges:  # noqa: E741
+        conf[l, r] = max(c, conf.get((l, r), c))
+    lefts, rights = sorted({l for l, _ in conf}), sorted({r for _, r in conf})
+    li, ri = {x: i for i, x in enumerate(lefts)}, {x: i for i, x in enumerate(rights)}
+    top = max(1.0, *conf.values())
+    # each left end may also stay alone, at a place of its own after all right ends
+    cost: list[dict[int, int]] = [{len(rights) + i: round(top * 1e9)} for i in range(len(lefts))]
+    for (l, r), c in conf.items():  # noqa: E741
+        cost[li[l]][ri[r]] = round((top - c) * 1e9)
+    price, owner, place = [0] * (len(rights) + len(lefts)), {}, {}
+    for start in range(len(lefts)):
+        dist, via, fixed = {}, {}, []
+        heap, seen, at, base, own = [], set(), start, 0, 0
+        while True:
+            for j, c in cost[at].items():
+                d = base + c - price[j] - own
+                if j not in seen and d < dist.get(j, d + 1):
+                    dist[j], via[j] = d, at
+                    heapq.heappush(heap, (d, j))
+            base, j = heapq.heappop(heap)
+            while j in seen:
+                base, j = heapq.heappop(heap)
+            seen.add(j)
+            if j not in owner:
+                break
+            fixed.append(j)
+            at = owner[j]
+            own = cost[at][j] - price[j]
+        for k in fixed:
+            price[k] += dist[k] - base
+        while True:
+            at = via[j]
+            before = place.get(at)
+            owner[j], place[at] = at, j
+            if at == start:
+                break
+            j = before
+    return [(lefts[i], rights[j], conf[lefts[i], rights[j]]) for i, j in sorted(place.items()) if j < len(rights)]
+
+
+def assign(edges: DataFrame) -> DataFrame:
+    """One-to-one pairs ``l, r, conf`` of greatest total confidence.
+
+    Pairs that compete with none are taken at once; each connected component of the
+    rest is solved exactly in one task.
     """
     e = cut(edges.select("l", "r", "conf"))
     left, right = e.groupBy("l").agg(F.count("*").alias("nl")), e.groupBy("r").agg(F.count("*").alias("nr"))
     marked = cut(e.join(left, "l").join(right, "r"))
     done = marked.where("nl = 1 AND nr = 1").select("l", "r", "conf")
     open_edges = cut(marked.where("nl > 1 OR nr > 1").select("l", "r", "conf"))
-    state = open_edges.select("r").distinct().select("r", F.lit(0.0).alias("price"), F.lit(None).cast("string").alias("owner"))
-    for _ in range(rounds):
-        held = state.where("owner IS NOT NULL").select(F.col("owner").alias("l"))
-        offers = open_edges.join(held, "l", "left_anti").join(state.select("r", "price"), "r").withColumn("gain", F.col("conf") - F.col("price"))
-        w = Window.partitionBy("l").orderBy(F.desc("gain"), "r")
-        best = (
-            offers.withColumn("i", F.row_number().over(w))
-            .withColumn("second", F.lead("gain").over(w))
-            .where("i = 1 AND gain > 0")
-            .select("l", "r", (F.col("price") + F.col("gain") - F.greatest(F.coalesce("second", F.lit(0.0)), F.lit(0.0)) + step).alias("bid"))
-        )
-        won = best.groupBy("r").agg(F.max(F.struct("bid", F.col("l"))).alias("b"))
-        state = cut(
-            state.join(won, "r", "left").select(
-                "r", F.coalesce("b.bid", "price").alias("price"), F.coalesce("b.l", "owner").alias("owner"), F.col("b").isNotNull().alias("moved")
-            )
-        )
-        if not state.where("moved").limit(1).collect():
-            break
-        state = state.drop("moved")
-    taken = state.where("owner IS NOT NULL").select("r", F.col("owner").alias("l")).join(open_edges, ["l", "r"]).select("l", "r", "conf")
-    return done.unionByName(taken)
+    parts = connected_components(open_edges.select(F.concat(F.lit("l|"), "l").alias("a"), F.concat(F.lit("r|"), "r").alias("b")))
+    placed = open_edges.join(parts.where("node LIKE 'l|%'").select(F.expr("substring(node, 3)").alias("l"), "component"), "l")
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(best_assignment(list(zip(rows["l"], rows["r"], rows["conf"], strict=True))), columns=["l", "r", "conf"])
+
+    return done.unionByName(placed.groupBy("component").applyInPandas(run, "l string, r string, conf double"))
 
 
 def match(pubmed: DataFrame, openalex: DataFrame, papers: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -76,6 +76,21 @@ def test_auction_reaches_the_greatest_total(spark):
         assert sum(r["conf"] for r in got) >= brute_assignment(edges) - 0.004 * 5 - 1e-9
 
 
+def test_contests_of_look_alikes_are_settled(spark):
+    import random
+
+    edges = []
+    for n in (3, 4, 5, 6, 12):
+        edges += [(f"{n}l{i:02}", f"{n}r{j:02}", 0.95) for i in range(n) for j in range(n - 1)] + [(f"{n}l{n - 1:02}", f"{n}free", 0.75)]
+    got = matching.assign(spark.createDataFrame(edges, "l string, r string, conf double")).collect()
+    assert len(got) == 30 and {r["l"] for r in got if r["r"].endswith("free")} == {f"{n}l{n - 1:02}" for n in (3, 4, 5, 6, 12)}
+    rnd = random.Random(11)
+    for _ in range(60):
+        edges = [(f"l{i}", f"r{j}", round(rnd.uniform(0.1, 1), 2)) for i in range(5) for j in range(4) if rnd.random() < 0.6]
+        if edges:
+            assert abs(sum(c for _, _, c in matching.best_assignment(edges)) - brute_assignment(edges)) < 1e-9
+
+
 P = "pmid string, title string, authors array<string>, publication_year string, journal string, doi string, entity string, w int"
 O = P.replace("pmid string", "openalex_id string, pmid string")
 A = "identifier string, title string, authors array<string>, year int, doi string, conf double"
