@@ -96,12 +96,15 @@ def theme_node(query_words: list[str], terms: DataFrame, taken: set[str], most:
     return None
 
 
-def parents_by_name(nodes: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Wanted parents resolved by id or name without case, first node wins: (resolved, unresolved). nodes: id, name, ordinal; wanted: child, parent."""
-    ids = nodes.select("id", "ordinal", F.explode(F.array(F.lower(F.trim("id")), F.lower(F.trim("name")))).alias("k"))
-    first = ids.groupBy("k").agg(F.min_by("id", "ordinal").alias("parent_id"))
-    j = wanted.withColumn("k", F.lower(F.trim("parent"))).join(first, "k", "left")
-    return j.where("parent_id IS NOT NULL").select("child", "parent_id"), j.where("parent_id IS NULL").select("child", "parent")
+def parents_by_name(nodes: DataFrame, wanted: DataFrame, within: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Wanted parents resolved by id or name without case, first node wins: (resolved, unresolved). nodes: id, name, ordinal; wanted: child, parent.
+
+    ``within`` names columns of both, such as the tree, in which a name is looked for.
+    """
+    ids = nodes.select(*within, "id", "ordinal", F.explode(F.array(F.lower(F.trim("id")), F.lower(F.trim("name")))).alias("k"))
+    first = ids.groupBy(*within, "k").agg(F.min_by("id", "ordinal").alias("parent_id"))
+    j = wanted.withColumn("k", F.lower(F.trim("parent"))).join(first, [*within, "k"], "left")
+    return j.where("parent_id IS NOT NULL").select(*within, "child", "parent_id"), j.where("parent_id IS NULL").select(*within, "child", "parent")
 
 
 def insert_nodes(nodes: DataFrame, new: DataFrame) -> DataFrame:

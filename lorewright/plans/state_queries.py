@@ -194,6 +194,21 @@ def tree_attach_parents(spark, sf):
     return good.select(F.col("child").alias("wanted"), F.lit(True).alias("found")).unionByName(bad.select(F.col("child").alias("wanted"), F.lit(False).alias("found")))
 
 
+@query(
+    "tree_attach_all_parents",
+    """WITH n AS (SELECT DISTINCT ontology_id, lower(trim(name)) AS k FROM ontology_nodes)
+SELECT DISTINCT w.ontology_id, w.parent AS wanted, n.k IS NOT NULL AS found FROM ontology_nodes w LEFT JOIN n ON n.ontology_id = w.ontology_id AND n.k = lower(trim(w.parent)) WHERE w.parent IS NOT NULL""",
+)
+def tree_attach_all_parents(spark, sf):
+    """Parents wanted by every ontology, resolved against the nodes of the same one."""
+    n = table(spark, sf, "ontology_nodes")
+    nodes = n.select("ontology_id", F.col("name").alias("id"), "name", "ordinal")
+    wanted = n.where("parent IS NOT NULL").select("ontology_id", F.col("parent").alias("child"), "parent").distinct()
+    good, bad = B.parents_by_name(nodes, wanted, ("ontology_id",))
+    found = lambda df, yes: df.select("ontology_id", F.col("child").alias("wanted"), F.lit(yes).alias("found"))
+    return found(good, True).unionByName(found(bad, False))
+
+
 @query(
     "agg_subtheory_quota",
     """WITH c AS (SELECT ontology_id, lower(trim(parent)) AS parent, target FROM ontology_nodes WHERE parent IS NOT NULL),

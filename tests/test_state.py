@@ -51,3 +51,11 @@ def test_prompt_caps_and_theme_names(spark):
     assert B.prompt_caps([400] * 60, budget=1000) == 10
     terms = spark.createDataFrame([("gamma", 1), ("alpha", 2)], "term string, rank int")
     assert B.theme_node(["alpha", "beta"], terms, {"Alpha Beta Gamma"}) == ("Alpha Beta Gamma 2", ["alpha", "beta", "gamma"])
+
+
+def test_parents_are_found_within_each_tree(spark):
+    nodes = spark.createDataFrame([("o1", "a", "Alpha", 1), ("o1", "b", "Beta", 2), ("o2", "c", "Gamma", 3)], "tree string, id string, name string, ordinal int")
+    wanted = spark.createDataFrame([("o1", "x", " alpha"), ("o2", "y", "GAMMA "), ("o2", "z", "beta")], "tree string, child string, parent string")
+    good, bad = B.parents_by_name(nodes, wanted, ("tree",))
+    assert {(r["tree"], r["child"], r["parent_id"]) for r in good.collect()} == {("o1", "x", "a"), ("o2", "y", "c")}
+    assert [(r["tree"], r["child"]) for r in bad.collect()] == [("o2", "z")]
