@@ -205,8 +205,8 @@ class Tagger:
                 names += [f"end={x['end']}", f"fw={x['fw_end']}", f"unk={x['unknown_end']}", f"run={x['runs_on']}"] * 2
                 names += [f"stop={x['after_stop']}", "lead=" + " ".join(w[:2]), "lead1=" + " ".join(w[:1])]
                 names += ["tail=" + " ".join(w[-1:])] + [f"o={v}" for v in set(w)]
-            names += [f"w={v}" for v in set(w[:14])]
-            names += [f"b={a}_{b}" for a, b in zip(w[:9], w[1:10], strict=False)]
+            names += [f"w={v}" for v in set(w)]
+            names += [f"b={a}_{b}" for a, b in zip(w, w[1:], strict=False)]
             ids = []
             for v in names:
                 k = self.ids.get(v)

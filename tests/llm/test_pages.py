@@ -119,3 +119,10 @@ def test_defects_of_pairs(spark):
 
 def test_defects_of_nothing(spark):
     assert pairs.pair_defects(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_features_hold_the_whole_clause():
+    t = pairs.Tagger().train([])
+    text = " ".join(f"{'abcdefghijklmnopqrstuvwxyz'[i]}word" for i in range(26)) + "."
+    got = t._features(t._cues(pairs.clauses(text), None, ""))[0]
+    assert {pairs.hashed([v], t.crf.bits)[0] for v in ("w=aword", "w=zword", "b=yword_zword")} <= set(got)
