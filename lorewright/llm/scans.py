@@ -274,7 +274,7 @@ def readings(vocab: DataFrame) -> DataFrame:
     # a rival is worth weighing if some context could make it win
     odds = F.col("lp") + F.log("n") - F.log(F.col("own"))
     rivals = scored.where(F.when(F.col("clean") == 0, odds > -3.0).otherwise(odds > -2.0))
-    best = F.slice(F.sort_array(F.collect_list(F.struct(odds.alias("o"), "cand", "lp", "n")), asc=False), 1, 3)
+    best = F.sort_array(F.collect_list(F.struct(odds.alias("o"), "cand", "lp", "n")), asc=False)
     return rivals.groupBy("w").agg(best.alias("top"), F.first("own").alias("own")).select(
         "w",
         F.concat(

@@ -59,3 +59,10 @@ def test_decoding_weighs_context_against_spelling():
     assert scans.decode([slot], {}, 1e5) == [(1, "forrn", "form")]
     rare = [{"cand": "kvp", "lp": 0.0, "n": 40.0}, {"cand": "kyp", "lp": -5.0, "n": 45.0}]
     assert scans.decode([{"pos": 1, "w": "kvp", "p": None, "q": None, "cands": rare}], {}, 1e5) == []
+
+
+def test_every_likely_reading_is_weighed(spark):
+    rivals = ["fun", "lun", "tuu", "tnn"]
+    vocab = spark.createDataFrame([("tun", 0, 1), *[(w, 1000, 0) for w in rivals]], "w string, clean bigint, scan bigint")
+    got = {r["w"]: [c["cand"] for c in r["cands"]] for r in scans.readings(vocab).collect()}
+    assert got["tun"][0] == "tun" and sorted(got["tun"][1:]) == sorted(rivals)
