@@ -29,11 +29,21 @@ _BOUNDARIES = (
 )
 
 
+def _boundary_start(text: str, at: int) -> int:
+    """Where a boundary that reaches ``at`` may have begun: before all its blanks, closing marks and stop."""
+    while at > 0 and text[at - 1].isspace():
+        at -= 1
+    while at > 0 and text[at - 1] in "'\")]":
+        at -= 1
+    return max(0, at - 1)
+
+
 def _snap(text: str, aim: int, low: int, high: int, reach: int) -> tuple[int, int]:
     """The strongest boundary within ``reach`` of ``aim`` inside [low, high], else any in [low, high]; (place, strength)."""
     for a, b in ((max(low, aim - reach), min(high, aim + reach)), (low, high)):
+        begin = _boundary_start(text, a)
         for strength, pattern in _BOUNDARIES:
-            ends = [m.end() for m in pattern.finditer(text, max(0, a - 200), b) if a <= m.end() <= b]
+            ends = [m.end() for m in pattern.finditer(text, begin, b) if a <= m.end() <= b]
             if ends:
                 return min(ends, key=lambda e: (abs(e - aim), e)), strength
     return aim, 0

@@ -21,12 +21,12 @@ def _chunks(spark, sf):
 
 
 def p6_found(spark, sf):
-    """Papers cut, by kind; the longest unbroken stretch tells forced ones from natural ones."""
+    """Papers cut, by kind: forced if a piece had to end inside a word, and that for the length of a stretch and not for the overlap."""
     pieces, limit = _chunks(spark, sf)
     return (
         pieces.groupBy("identifier")
-        .agg(F.max("longest_run").alias("run"))
-        .select("identifier", F.when(F.col("run") > limit, "forced").otherwise("natural").alias("kind"))
+        .agg((F.min("strength") == 0).alias("inside"), F.max("longest_run").alias("run"))
+        .select("identifier", F.when(F.col("inside") & (F.col("run") > limit), "forced").otherwise("natural").alias("kind"))
     )
 
 
@@ -41,8 +41,9 @@ def _packed(spark, sf):
 
 
 def p8_found(spark, sf):
-    """Documents the packing had to cut."""
-    return _packed(spark, sf).where("pieces > 1").select("doc_id").distinct()
+    """Documents whose pieces lie in several containers."""
+    placed = _packed(spark, sf).where("pieces > 1").groupBy("doc_id").agg(F.min("container").alias("low"), F.max("container").alias("high"))
+    return placed.where("low < high").select("doc_id")
 
 
 def p8_packed(spark, sf):
@@ -57,7 +58,7 @@ def _mixed(spark, sf):
     targets = table(spark, sf, "mix_targets")
     sizes = mixing.source_sizes(table(spark, sf, "documents"), targets)
     plan = mixing.expectations(sizes, targets)
-    return plan, mixing.mix(sizes, plan)
+    return plan, mixing.draws(sizes, plan)
 
 
 def p9_report(spark, sf):
@@ -65,12 +66,12 @@ def p9_report(spark, sf):
 
 
 def p9_found(spark, sf):
-    """Sources that fall short although used as often as allowed."""
+    """Sources of which every document was drawn as often as allowed and whose tokens drawn fall short of the target."""
     return p9_report(spark, sf).where("short").select("source")
 
 
 def p9_mix(spark, sf):
-    return _mixed(spark, sf)[1]
+    return mixing.copies(_mixed(spark, sf)[1])
 
 
 QUERIES = {

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lorewright.functions.text import strip
-from lorewright.llm.ranking import two_level_rank
+from lorewright.operators.ranking import two_level_rank
 from lorewright.llm.tokens import TOKENIZER_DIR, token_count
 from lorewright.session import cut, spread_scan
 
@@ -38,7 +38,7 @@ def source_sizes(docs: DataFrame, targets: DataFrame, tokenizer_dir: str = TOKEN
 
 
 def expectations(sizes: DataFrame, targets: DataFrame) -> DataFrame:
-    """Per listed source: ``source, k, weight, max_repeats, tokens, target_tokens, expected, short``."""
+    """Per listed source: ``source, k, weight, max_repeats, own_docs, tokens, target_tokens, expected``."""
     want = (
         targets.where(strip("source") != "")
         .groupBy(_key("source").alias("k"))
@@ -48,49 +48,60 @@ def expectations(sizes: DataFrame, targets: DataFrame) -> DataFrame:
             F.coalesce(F.max("max_repeats"), F.lit(1)).alias("max_repeats"),
         )
     )
-    have = sizes.groupBy("k").agg(F.sum("tokens").alias("tokens"))
+    have = sizes.groupBy("k").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("own_docs"))
     total = have.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("total"))
     return (
         want.join(have, "k", "left")
         .crossJoin(F.broadcast(total))  # one row
-        .withColumn("tokens", F.coalesce("tokens", F.lit(0)))
+        .na.fill(0, ["tokens", "own_docs"])
         .withColumn("target_tokens", F.col("weight") * F.col("total"))
         .withColumn(
             "expected",
             F.when(F.col("tokens") > 0, F.least(F.col("max_repeats").cast("double"), F.col("target_tokens") / F.col("tokens")))
             .otherwise(0.0),
         )
-        .withColumn("short", F.col("max_repeats") * F.col("tokens") < F.col("target_tokens"))
     )
 
 
-def mix(sizes: DataFrame, plan: DataFrame, seed: int = 7) -> DataFrame:
-    """Emitted copies, one row each: ``doc_id, source, tokens, copy``."""
-    bucket = F.least(F.floor(F.col("tokens") / 16), F.lit(1023)) * 4 + F.pmod(F.xxhash64("doc_id"), F.lit(4))
-    ranked = two_level_rank(sizes.withColumn("_b", bucket), ["k"], "_b", ["tokens", "doc_id"])
+def draws(sizes: DataFrame, plan: DataFrame, seed: int = 7) -> DataFrame:
+    """Documents drawn and how often: ``doc_id, k, source, tokens, n``."""
+    # ranges of the global order are the first level of the ranks, so a hot source has as many as its rows need
+    placed = cut(sizes.repartitionByRange("k", "tokens", "doc_id").withColumn("_b", F.spark_partition_id()))
+    ranked = two_level_rank(placed, ["k"], "_b", ["tokens", "doc_id"])
     offset = F.pmod(F.xxhash64("k", F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
     upto = lambda r: F.floor(offset + F.col("expected") * r)
     return (
         ranked.join(plan.select("k", "source", "expected"), "k")
         .withColumn("n", (upto(F.col("rank") + 1) - upto(F.col("rank"))).cast("int"))
         .where("n > 0")
-        .select("doc_id", "source", "tokens", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+        .select("doc_id", "k", "source", "tokens", "n")
     )
 
 
-def report(plan: DataFrame, mixed: DataFrame) -> DataFrame:
-    """Per listed source: target and reached shares."""
-    used = mixed.groupBy("source").agg(
-        F.sum("tokens").alias("used_tokens"), F.max("copy").alias("most_copies"), F.count_distinct("doc_id").alias("docs")
-    )
+def copies(drawn: DataFrame) -> DataFrame:
+    """Emitted copies, one row each: ``doc_id, source, tokens, copy``."""
+    return drawn.select("doc_id", "source", "tokens", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+
+
+def report(plan: DataFrame, drawn: DataFrame) -> DataFrame:
+    """Per listed source: target and reached shares.
+
+    A source is short if every document of it was drawn ``max_repeats`` times and the tokens drawn
+    still miss the target, or if it has a target and nothing to draw from.
+    """
+    used = drawn.groupBy("k").agg(
+        F.sum(F.col("tokens").cast("bigint") * F.col("n")).alias("used_tokens"), F.max("n").alias("most_copies"),
+        F.sum("n").alias("copies"), F.count("*").alias("docs"),
+    )
     whole = used.agg(F.sum("used_tokens").alias("all_tokens"))
+    spent = F.col("copies") >= F.col("own_docs") * F.col("max_repeats")
     return (
-        plan.join(used, "source", "left")
+        plan.join(used, "k", "left")
         .crossJoin(F.broadcast(whole))  # one row
+        .na.fill(0, ["used_tokens", "docs", "most_copies", "copies"])
         .select(
-            "source", "weight", "max_repeats", F.col("tokens").alias("own_tokens"), "target_tokens",
-            F.coalesce("used_tokens", F.lit(0)).alias("used_tokens"), F.coalesce("docs", F.lit(0)).alias("docs"),
-            F.coalesce("most_copies", F.lit(0)).alias("most_copies"),
-            F.coalesce(F.col("used_tokens") / F.col("all_tokens"), F.lit(0.0)).alias("share"), "short",
+            "source", "weight", "max_repeats", F.col("tokens").alias("own_tokens"), "target_tokens", "used_tokens", "docs", "most_copies",
+            F.coalesce(F.col("used_tokens") / F.col("all_tokens"), F.lit(0.0)).alias("share"),
+            (spent & (F.col("used_tokens") < F.col("target_tokens"))).alias("short"),
         )
     )

@@ -20,13 +20,10 @@ from bisect import bisect_left, insort
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lorewright.llm.ranking import two_level_rank
+from lorewright.operators.ranking import two_level_rank
 from lorewright.llm.tokens import TOKENIZER_DIR, token_count
 from lorewright.session import cut, spread_scan
 
-BUCKETS = 64
-
-
 def plan_containers(histogram: dict[int, int], capacity: int, tiers: list[int]) -> list[tuple[int, dict[int, int]]]:
     """Groups of equal containers: (how many, {length: items of it in each})."""
     groups: dict[int, list] = {}  # gap -> [[multiplicity, {length: n}], ...]
@@ -101,10 +98,9 @@ def pack(
     lookup = spark.createDataFrame(
         [(k, v) for k, v in slots.items()], "tokens int, slots array<struct<start:bigint,base:bigint,per:bigint>>"
     )
-    ranked = two_level_rank(
-        cutted.where("tokens > 0").withColumn("_b", F.pmod(F.xxhash64("item", "piece"), F.lit(BUCKETS))),
-        ["tokens"], "_b", ["item", "piece"], "rank",
-    )
+    # ranges of the global order are the first level of the ranks, so a length that very many items have is spread out
+    placed = cut(cutted.where("tokens > 0").repartitionByRange("tokens", "item", "piece").withColumn("_b", F.spark_partition_id()))
+    ranked = two_level_rank(placed, ["tokens"], "_b", ["item", "piece"], "rank")
     slot = F.element_at(F.filter("slots", lambda s: s["start"] <= F.col("rank")), -1)
     tier = F.lit(max(tiers))
     for t in sorted((t for t in tiers if t < max(tiers)), reverse=True):

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lorewright.llm import chunking, mixing, packing
-from lorewright.llm.ranking import two_level_rank
+from lorewright.operators.ranking import two_level_rank
 
 DOC = "doc_id bigint, text string, source string, tokens string, container int"
 
@@ -66,7 +66,9 @@ def test_packing_and_mixing_of_nothing(spark):
     targets = spark.createDataFrame([("a", 1.0, 2)], "source string, weight double, max_repeats int")
     sizes = mixing.source_sizes(none, targets)
     plan = mixing.expectations(sizes, targets)
-    assert mixing.mix(sizes, plan).count() == 0 and plan.count() == 1
+    drawn = mixing.draws(sizes, plan)
+    assert mixing.copies(drawn).count() == 0 and plan.count() == 1
+    assert [r["short"] for r in mixing.report(plan, drawn).collect()] == [False]
 
 
 def test_ranks_are_exact_over_buckets(spark):
@@ -82,12 +84,19 @@ def test_shares_are_met_and_short_sources_reported(spark):
     rows = [(i, "cell " * (5 + i % 7), "Big ", "x", 1) for i in range(800)] + [(2000 + i, "cell " * 8, "small", "x", 1) for i in range(20)]
     rows += [(5000, "cell", None, "x", 1), (5001, "cell", "other", "x", 1), (5002, None, "big", "x", 1)]
     docs = spark.createDataFrame(rows, DOC)
-    targets = spark.createDataFrame([("big", 0.5, 1), ("small", 0.5, 3), ("absent", 0.0, 2), (None, 0.1, 1)], "source string, weight double, max_repeats int")
+    targets = spark.createDataFrame([("big", 0.5, 1), ("small", 0.5, 3), ("absent", 0.0, 2), ("missing", 0.01, 2), (None, 0.1, 1)], "source string, weight double, max_repeats int")
     sizes = mixing.source_sizes(docs, targets)
     plan = mixing.expectations(sizes, targets)
-    mixed = mixing.mix(sizes, plan)
-    rep = {r["source"]: r for r in mixing.report(plan, mixed).collect()}
+    drawn = mixing.draws(sizes, plan)
+    mixed = mixing.copies(drawn)
+    rep = {r["source"]: r for r in mixing.report(plan, drawn).collect()}
     assert rep["small"]["short"] and rep["small"]["most_copies"] == 3 and rep["small"]["docs"] == 20
     assert not rep["big"]["short"] and abs(rep["big"]["used_tokens"] / rep["big"]["target_tokens"] - 1) < 0.02
-    assert not rep["absent"]["short"] and rep["absent"]["used_tokens"] == 0
+    assert not rep["absent"]["short"] and rep["absent"]["used_tokens"] == 0 and rep["missing"]["short"]
     assert {r["source"] for r in mixed.select("source").distinct().collect()} == {"big", "small"}
+
+
+def test_a_long_run_of_blanks_is_one_boundary():
+    text = "ab. " * 20 + "\n" + " " * 400 + "\n" + " " * 30 + "ab. " * 30
+    low = text.index("\n") + 405
+    assert chunking._snap(text, low + 20, low, low + 40, 40)[1] == 4
