@@ -1,25 +1,26 @@
 """Keyword-stuffed and link-list pages by robust outlier distance.
 
-Each text gives six features: the share of characters in stretches that read as
-no sentences (hardly any function words nearby, or few and the content words
-repeated), local repetition of content words, share of function words, share of
-words in well-formed sentences, entropy of the words, and share of links. Per
+Each text gives six features: the length of stretches without a function word, how many
+content words come back nearby, share of function words, share of words in
+well-formed sentences, entropy of the words, and share of links. Per
 language the features' centre and scatter are estimated robustly: medians and
-absolute deviations first, then covariance over the nearer rows, twice. A page is
-flagged if its Mahalanobis distance is beyond the cutoff, it lies on the spam side
-of the centre, and most of its text is repetition, links or word lists and no prose.
+absolute floors first, then mean and covariance over the rows within the cutoff, in turn until no
+estimate changes. A page is flagged if its Mahalanobis distance lies beyond the cutoff and
+its deviation, in the metric of that covariance, goes far in the direction of spam (all
+features on their spam side, each by its own scatter).
+
+A text of few words tells little: deviations are shrunk by words / (words + ``few``). A
+language of few texts tells little too: ``prior`` rows of the pooled estimates are added to each.
 
 Defined results: rows of null id, null and blank texts have no features and are never flagged;
-languages are read off the function words, the ``lang`` column is not used; a
-language of fewer than ``min_rows`` texts shares the pooled estimates; repeated
+languages are read off the function words, the ``lang`` column is not used; a text
+without any function word has no language and is held against the pooled estimates; repeated
 rows are judged alike.
 """
 
 from __future__ import annotations
 
-import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,164 +31,187 @@ from pyspark.sql import functions as F
 from lorewright.llm.wordlists import ANY, SETS
 from lorewright.session import cut, spread_scan
 
-FEATURES = ["waste", "repeat", "function", "prose", "entropy", "links"]
+FEATURES = ["run", "repeat", "function", "prose", "entropy", "links"]
 #: Sign of each feature on the spam side.
-SIDE = [1.0, 1.0, -1.0, -1.0, -1.0, 1.0]
+SIDE = np.array([1.0, 1.0, -1.0, -1.0, -1.0, 1.0])
 #: Least scale of each feature, so that a feature most texts share exactly cannot dominate.
-FLOOR = [0.08, 0.12, 0.06, 0.12, 0.08, 0.08]
-#: 0.999 quantile of chi-square with six degrees of freedom.
-CUTOFF = 22.46
-
-_TOKEN = re.compile(r"<[^<>]{0,2000}>|(?:https?://|www\.)\S+|[^\W_]+(?:[-'’][^\W_]+)*")
-_STOP = re.compile(r"[.!?]['\")\]]*(?=\s|$)|\n\s*\n")
-NEAR, WIDE = 8, 20
-
-
-def features(text: str) -> tuple[str, list[float]] | None:
-    """(language, features), or None for a text without words."""
-    words, func, size, at = [], [], [], []
-    counts = dict.fromkeys(SETS, 0)
-    for m in _TOKEN.finditer(text):
-        x = m.group()
-        if x[:2] == "</":
-            continue
-        at.append(m.start())
-        size.append(len(x))
-        if x[0] == "<" or x.startswith(("http", "www.")):
-            words.append("\0")
-            func.append(0)
-            continue
-        w = x.lower()
-        stem = w.replace("’", "'").split("'")[0]
-        hit = w if w in ANY else stem if stem in ANY else ""
-        words.append(w)
-        func.append(1 if hit else 0)
-        if hit:
-            for lang, listed in SETS.items():
-                counts[lang] += hit in listed
-    n = len(words)
-    if not n:
-        return None
-    f = np.array(func)
-    i = np.arange(n)
-    csum = np.concatenate([[0], np.cumsum(f)])
-    lo, hi = np.maximum(0, i - NEAR), np.minimum(n, i + NEAR + 1)
-    dense = (csum[hi] - csum[lo]) / (hi - lo)
-    again = np.zeros(n)
-    last: dict[str, int] = {}
-    for j, w in enumerate(words):
-        if not func[j]:
-            k = last.get(w)
-            if k is not None and j - k <= WIDE:
-                again[j] = again[k] = 1
-            last[w] = j
-    rsum = np.concatenate([[0], np.cumsum(again)])
-    half = WIDE // 2
-    lo, hi = np.maximum(0, i - half), np.minimum(n, i + half + 1)
-    content = (hi - lo) - (csum[hi] - csum[lo])
-    local = (rsum[hi] - rsum[lo]) / np.maximum(1, content)
-    waste = (dense < 0.12) | ((dense < 0.27) & (local > 0.45))
-    weight = np.array(size, dtype=float)
-    prose, start, k = 0, 0, 0
-    for m in _STOP.finditer(text):
-        end, first = m.start(), k
-        while k < n and at[k] < end:
-            k += 1
-        while first < k and words[first] == "\0":
-            first += 1  # a link before the sentence
-        length = k - first
-        if 6 <= length <= 60 and m.group()[0] in ".!?":
-            hits = csum[k] - csum[first]
-            marks = sum(text.count(c, start, end) for c in "|•»;,[]#/")
-            content = [w for w, x in zip(words[first:k], func[first:k], strict=True) if not x]
-            fresh = len(set(content)) >= 0.75 * len(content) and "\0" not in content
-            if hits >= 2 and hits / length >= 0.12 and marks < length / 4 and fresh:
-                prose += length
-        start = m.end()
-    freq = Counter(words)
-    entropy = -sum(c / n * math.log(c / n) for c in freq.values()) / math.log(n) if n > 1 else 1.0
-    lang = max(counts, key=lambda x: (counts[x], x)) if any(counts.values()) else "und"
-    links = sum(s for w, s in zip(words, size, strict=True) if w == "\0") / weight.sum()
-    return lang, [
-        float((waste * weight).sum() / weight.sum()), float(again.sum() / max(1, n - f.sum())), float(f.mean()),
-        prose / n, entropy, float(links),
-    ]
+FLOOR = np.array([0.35, 0.12, 0.06, 0.12, 0.08, 0.08])
+#: 0.999 quantiles of chi-square with six degrees of freedom and of the normal distribution.
+CUTOFF, LEAN = 22.46, 3.09
+LANGS = sorted(SETS)
+#: Characters of text turned into arrays at once; a longer text is taken alone.
+TOGETHER = 500_000
+
+_TOKEN = re.compile(
+    r"<[^<>]{0,2000}>|(?:https?://|www\.)\S+|[^\W_]+(?:[-'’][^\W_]+)*|[.!?](?=['\")\]]*(?:\s|$))|\n\s*\n|[|•»;,\[\]#/]"
+)
+WORD, LINK, STOP, BREAK, MARK, DROP = range(6)
+WIDE = 20
+
+
+def _kind(token: str) -> int:
+    if token[:2] == "</":
+        return DROP
+    if token[0] == "<" or token.startswith(("http", "www.")):
+        return LINK
+    return STOP if token in ".!?" else BREAK if token[0] == "\n" else WORD if token[0].isalnum() else MARK
+
+
+def features(texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+    """(words, language, features) of each text; all texts are handled together as arrays of tokens."""
+    found = [_TOKEN.findall(t) for t in texts]
+    many = len(texts)
+    flat = [t for f in found for t in f]
+    code, types = pd.factorize(np.array([*flat, "."], dtype=object))
+    code = code[:-1]
+    kinds = np.array([_kind(t) for t in types])
+    low = [t.lower() if k == WORD else "" for t, k in zip(types, kinds, strict=True)]
+    stems = [w if w in ANY else s if (s := w.replace("’", "'").split("'")[0]) in ANY else "" for w in low]
+    same = pd.factorize(np.array(low, dtype=object))[0]  # links are one word
+    member = np.array([[s in SETS[k] for k in LANGS] for s in stems], dtype=float)
+    kind = kinds[code]
+    doc = np.repeat(np.arange(many), [len(f) for f in found])
+    ends = (kind == STOP) | (kind == BREAK)
+    first = np.r_[True, doc[1:] != doc[:-1]] if len(doc) else np.array([], dtype=bool)
+    sent = np.cumsum(np.r_[False, ends[:-1]] | first) - 1 if len(doc) else np.array([], dtype=int)
+    ns = int(sent[-1]) + 1 if len(sent) else 0
+    stopped = np.bincount(sent, kind == STOP, ns) > 0
+    marks = np.bincount(sent, kind == MARK, ns)
+    keep = kind <= LINK
+    at, doc, sent, link = code[keep], doc[keep], sent[keep], kind[keep] == LINK
+    word, func = same[at], member[at].any(1) if len(at) else np.array([], dtype=bool)
+    size = np.array([len(t) for t in types], dtype=float)[at]
+    n = np.bincount(doc, minlength=many)
+    per = lambda x: np.bincount(doc, x, many)
+    nf = per(func)
+    content = ~func
+    # runs of words without a function word
+    new = np.r_[True, (doc[1:] != doc[:-1]) | func[1:] | func[:-1]] if len(doc) else np.array([], dtype=bool)
+    run = np.cumsum(new) - 1
+    length = np.bincount(run)[run] if len(run) else run
+    # content words that come back within WIDE words
+    pos = np.arange(len(doc))
+    idx = np.flatnonzero(content)
+    order = idx[np.lexsort((idx, word[idx], doc[idx]))]
+    near = (doc[order][1:] == doc[order][:-1]) & (word[order][1:] == word[order][:-1]) & (np.diff(pos[order]) <= WIDE)
+    again = np.zeros(len(doc))
+    again[order[1:][near]] = 1
+    again[order[:-1][near]] = 1
+    # sentences: function words, fresh content words, few marks, no link inside
+    ls, hits = np.bincount(sent, minlength=ns), np.bincount(sent, func, ns)
+    real = np.cumsum(~link) if len(link) else link
+    begin = np.r_[0, np.cumsum(ls)][:-1]
+    before = np.r_[0, real][begin[sent]] if len(sent) else sent  # real words before the sentence
+    inner = np.bincount(sent, link & (real > before), ns)
+    words_in = np.bincount(sent, ~link, ns)
+    top = int(word.max(initial=0)) + 1
+    pair = np.unique(sent[content & ~link].astype(np.int64) * top + word[content & ~link]) // top
+    fresh, stuff = np.bincount(pair, minlength=ns), np.bincount(sent, content & ~link, ns)
+    good = stopped & (hits >= 2) & (inner == 0) & (marks * 4 < words_in) & (fresh >= 0.75 * stuff)
+    prose = per(good[sent] & ~link) if len(sent) else np.zeros(many)
+    key, c = np.unique(doc.astype(np.int64) * top + word, return_counts=True)
+    kd = key // top
+    p = c / n[kd]
+    entropy = np.bincount(kd, -p * np.log(p), many)
+    n1 = np.maximum(n, 1)
+    votes = np.stack([per(member[at, i]) for i in range(len(LANGS))], 1) if len(at) else np.zeros((many, len(LANGS)))
+    lang = np.where(votes.max(1) > 0, np.array(LANGS, dtype=object)[votes.argmax(1)], "und")
+    x = np.stack([
+        per(np.log2(length) * content) / np.maximum(1, n - nf), per(again) / np.maximum(1, n - nf), nf / n1, prose / n1,
+        np.where(n > 1, entropy / np.log(np.maximum(n, 2)), 1.0), per(size * link) / np.maximum(per(size), 1),
+    ], 1)
+    return n, list(lang), x
 
 
 def page_features(docs: DataFrame) -> DataFrame:
-    """``doc_id, tongue`` and the features of every text that has words."""
+    """``doc_id, tongue, words`` and the features of every text that has words."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(k, x[0], *x[1]) for k, t in zip(b["doc_id"], b["text"], strict=True) if t and (x := features(t))]
-            yield pd.DataFrame(rows, columns=["doc_id", "tongue", *FEATURES])
+            part = (b["text"].str.len().cumsum() // TOGETHER).to_numpy()
+            for _, rows in b.groupby(part):
+                n, lang, x = features(rows["text"].tolist())
+                out = pd.DataFrame(x, columns=FEATURES)
+                out.insert(0, "doc_id", rows["doc_id"].to_numpy())
+                out.insert(1, "tongue", lang)
+                out.insert(2, "words", n)
+                yield out[n > 0]
 
     return spread_scan(docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")).mapInPandas(
-        run, f"doc_id {kind}, tongue string, " + ", ".join(f"{x} double" for x in FEATURES)
+        run, f"doc_id {kind}, tongue string, words bigint, " + ", ".join(f"{x} double" for x in FEATURES)
     )
 
 
-def _model(rows: DataFrame, by: list[str]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Mean and covariance by language (key '' when pooled)."""
+Model = dict[str, tuple[np.ndarray, np.ndarray]]
+
+
+def _moments(rows: DataFrame) -> dict[str, tuple[int, np.ndarray, np.ndarray]]:
+    """Rows, mean and covariance by language."""
     k = len(FEATURES)
-    aggs = [F.avg(x) for x in FEATURES] + [
-        F.covar_pop(FEATURES[a], FEATURES[b]) for a in range(k) for b in range(a, k)
-    ]
+    aggs = [F.avg(x) for x in FEATURES] + [F.covar_pop(FEATURES[a], FEATURES[b]) for a in range(k) for b in range(a, k)]
     out = {}
-    for r in rows.groupBy(*by).agg(*aggs).collect():  # one row per language
+    for r in rows.groupBy("tongue").agg(F.count("*"), *aggs).collect():  # one row per language
         v = list(r)
-        mu = np.array(v[len(by) : len(by) + k], dtype=float)
-        s, it = np.zeros((k, k)), iter(v[len(by) + k :])
+        s, it = np.zeros((k, k)), iter(v[2 + k :])
         for a in range(k):
             for b in range(a, k):
                 s[a, b] = s[b, a] = next(it)
-        out[r[0] if by else ""] = (mu, s)
+        out[r[0]] = (v[1], np.array(v[2 : 2 + k], dtype=float), s)
+    return out
+
+
+def _estimate(parts: dict[str, tuple[int, np.ndarray, np.ndarray]], prior: int) -> Model:
+    """Mean and covariance of every language, each with ``prior`` rows of the pool added."""
+    total = sum(n for n, _, _ in parts.values())
+    centre = sum(n * m for n, m, _ in parts.values()) / total
+    around = lambda m, c, at: c + np.outer(m - at, m - at)
+    pool = sum(n * around(m, c, centre) for n, m, c in parts.values()) / total
+    out = {"und": (centre, pool)}
+    for lang, (n, m, c) in parts.items():
+        if lang != "und":
+            mu = (n * m + prior * centre) / (n + prior)
+            out[lang] = (mu, (n * around(m, c, mu) + prior * around(centre, pool, mu)) / (n + prior))
     return out
 
 
-def _scored(rows: DataFrame, models: dict[str, tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """Adds ``distance`` (squared) and ``side`` by each row's language."""
+def _scored(rows: DataFrame, models: Model, few: float) -> DataFrame:
+    """Adds ``distance`` (squared) and ``side`` (how far in the direction of spam) by each row's language."""
     distance, side = F.lit(None).cast("double"), F.lit(None).cast("double")
+    trust = F.col("words") / (F.col("words") + few)
     for lang, (mu, s) in models.items():
         s = s + np.diag(np.square(FLOOR))
-        inv, scale = np.linalg.inv(s), np.sqrt(np.diag(s))
+        inv = np.linalg.inv(s)
+        way = SIDE * np.sqrt(np.diag(s))
+        way = inv @ way / np.sqrt(way @ inv @ way)
         dev = [F.col(x) - float(m) for x, m in zip(FEATURES, mu, strict=True)]
-        d2 = F.lit(0.0)
-        for a in range(len(dev)):
-            row = F.lit(0.0)
-            for b in range(len(dev)):
-                row = row + float(inv[a, b]) * dev[b]
-            d2 = d2 + dev[a] * row
-        lean = F.lit(0.0)
-        for x, sign, sc in zip(dev, SIDE, scale, strict=True):
-            lean = lean + x * float(sign / sc)
-        distance = F.when(F.col("tongue") == lang, d2).otherwise(distance)
-        side = F.when(F.col("tongue") == lang, lean).otherwise(side)
-    return rows.withColumn("distance", distance).withColumn("side", side)
-
-
-def spam_scores(docs: DataFrame, min_rows: int = 50, steps: int = 2) -> DataFrame:
+        line = lambda w, dev=dev: sum((x * float(c) for x, c in zip(dev, w, strict=True)), F.lit(0.0))
+        d2 = sum((dev[a] * line(inv[a]) for a in range(len(dev))), F.lit(0.0))
+        distance = F.when(F.col("tongue") == lang, d2 * trust * trust).otherwise(distance)
+        side = F.when(F.col("tongue") == lang, line(way) * trust).otherwise(side)
+    return rows.withColumns({"distance": distance, "side": side})
+
+
+def spam_scores(docs: DataFrame, prior: int = 50, few: float = 8.0, max_steps: int = 100) -> DataFrame:
     """Features with ``distance, side, spam`` for every text that has words."""
     rows = cut(page_features(docs))
-    sizes = {r["tongue"]: r["n"] for r in rows.groupBy("tongue").agg(F.count("*").alias("n")).collect()}
-    large = sorted(x for x, n in sizes.items() if n >= min_rows and x != "und")
-    pooled = rows.withColumn("group", F.when(F.col("tongue").isin(large), F.col("tongue")).otherwise("rest"))
     mid = [F.percentile_approx(x, 0.5, 1000).alias(x) for x in FEATURES]
-    base = {r["group"]: r for r in pooled.groupBy("group").agg(*mid).collect()}
-    whole = rows.agg(*mid).collect()[0]
-    models = {}
-    for lang in sizes:
-        r = base.get(lang, whole)
-        if r[FEATURES[0]] is not None:
-            models[lang] = (np.array([r[x] for x in FEATURES], dtype=float), np.diag(np.square(FLOOR)) * 3.0)
-    for _ in range(steps):
-        near = _scored(rows, models).where(F.col("distance") < CUTOFF)
-        by_lang, every = _model(near, ["tongue"]), _model(near, [])
-        for lang in models:
-            fit = by_lang.get(lang) if lang in large else every.get("")
-            if fit is not None and np.isfinite(fit[1]).all():
-                models[lang] = fit
-    idle = F.greatest(F.col("waste"), F.col("repeat") * 0.8, F.col("links"))
-    most = ((idle + 1 - F.col("prose")) / 2 >= 0.46) & (idle >= 0.3)
-    return _scored(rows, models).withColumn("spam", (F.col("distance") > CUTOFF) & (F.col("side") > 0) & most)
+    sizes = {r["tongue"]: r for r in rows.rollup("tongue").agg(F.count("*").alias("n"), *mid).collect()}  # one row per language
+    middle = lambda r: np.array([r[x] for x in FEATURES], dtype=float)
+    models: Model = {}
+    if sizes.get(None) is not None and sizes[None]["n"]:
+        whole, wide = middle(sizes[None]), np.diag(np.square(FLOOR)) * 3.0
+        models = {k: ((r["n"] * middle(r) + prior * whole) / (r["n"] + prior), wide) for k, r in sizes.items() if k not in (None, "und")}
+        models["und"] = (whole, wide)
+        for _ in range(max_steps):
+            parts = _moments(_scored(rows, models, few).where(F.col("distance") < CUTOFF))
+            if not parts:
+                break
+            now = models | _estimate(parts, prior)
+            change = max(float(np.max(np.abs(now[k][0] - models[k][0]) / FLOOR)) for k in models)
+            models = now
+            if change < 1e-6:
+                break
+        else:
+            raise RuntimeError("the robust estimates did not settle")
+    return _scored(rows, models, few).withColumn("spam", F.coalesce((F.col("distance") > CUTOFF) & (F.col("side") > LEAN), F.lit(False)))
