@@ -1,10 +1,11 @@
 """Defective prompt and response pairs by tagging clauses with a CRF.
 
-A response is cut into clauses, each tagged answer, refusal, echo, foreign or
-unfinished; the share of the text under each tag decides the pair's defect.
-The CRF is trained on at most ``sample_rows`` rows (those of the smallest hash of
-their id), labelled by seed rules that only speak on clear cases; word and
-language statistics of that sample are features. Tagging then covers all rows.
+A response is cut into clauses, each tagged answer, refusal, echo, foreign, unfinished or
+void; the share of the text under each tag decides the pair's defect. An answer without a word is one void clause.
+The CRF and its word rates per language are fitted on at most ``sample_rows`` rows (those of the smallest hash of
+their id), labelled by seed rules that only speak on clear cases, and on the placeholders listed. What is known of an
+answer's last word (never seen elsewhere, a piece of a longer word, a word that goes on
+everywhere else) is counted over all rows. Tagging covers all rows.
 
 Defined results: rows of null id are ignored; a null answer is ``empty``; a null question rules out only echo
 and foreign; repeated ids count once; an empty table gives an empty result; whole
@@ -26,11 +27,14 @@ from pyspark.sql import functions as F
 from lorewright.llm.crf import CRF, hashed
 from lorewright.llm.registry import levenshtein
 from lorewright.llm.wordlists import SETS
-from lorewright.session import spread
+from lorewright.session import cut, spread
 
-TAGS = ["answer", "refusal", "echo", "foreign", "unfinished"]
-ANSWER, REFUSAL, ECHO, FOREIGN, UNFINISHED = range(5)
+TAGS = ["answer", "refusal", "echo", "foreign", "unfinished", "void"]
+ANSWER, REFUSAL, ECHO, FOREIGN, UNFINISHED, VOID = range(6)
+#: Texts that stand for no answer; training cases.
 PLACEHOLDERS = {"null", "none", "n a", "na", "nan", "nil", "tbd", "undefined", "no answer", "empty", "missing"}
+#: What is known of an answer's last word: nothing odd, unknown, piece of a known word, hardly ever last.
+PLAIN, UNKNOWN, PIECE, GOES_ON = range(4)
 
 _TAGGED = re.compile(r"</?[a-zA-Z][^>]{0,200}>")
 _LEAD = re.compile(r"^\s*(?:answer|question|response|antwort|frage|réponse|respuesta|pregunta|q|a)\s*[:–—-]\s*", re.I)
@@ -38,11 +42,12 @@ _CLAUSE = re.compile(r"(?<=[.!?…])[\"')\]]*\s+|\s+[-–—]\s+|\n+")
 _ABBREV = re.compile(r"(?:\b[A-Za-z]|\bet al|\bcf|\bvs|\bp|\bn|\be\.g|\bi\.e|\bFig|\bDr)\.$")
 _WORD = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
 _BLANK = re.compile(r"[\s​‌‍⁠﻿]+")
-_UNABLE = re.compile(
-    r"\b(?:i|i'm|this assistant|my guidelines|we as an ai)\b.{0,40}\b(?:cannot|can't|won't|will not|unable|not permitted|"
-    r"not able|not in a position|must decline|decline to|no way to|do not allow|not allowed|don't feel)\b"
-    r"|\bnot be appropriate for me\b",
-    re.I | re.S,
+#: The answerer speaks of itself or of the request, and not of the paper.
+_SPEAKER = re.compile(
+    r"\bi(?:'m|'d|'ll| am| cannot| can| can't| won't| will| would| do| don't| have| may| must| could| prefer| refuse| decline)\b"
+    r"|\b(?:my guidelines|my remit|(?:this|the) assistant|as an? (?:ai|language model)|(?:the|your|that) request"
+    r"|please (?:upload|consult|provide|rephrase|ask|contact|share)|we as an ai)\b|\bappropriate for me\b|^request not\b",
+    re.I,
 )
 #: Articles, prepositions and conjunctions; no sentence ends in one.
 DANGLING = frozenset(
@@ -79,13 +84,6 @@ def clauses(text: str) -> list[str]:
     return [c for c in out if _WORD.search(c)]
 
 
-def is_empty(text: str | None) -> bool:
-    if text is None:
-        return True
-    words = norm(plain(text))
-    return not words or words in PLACEHOLDERS
-
-
 def quotes(evidence: str | None) -> str:
     """All strings of the evidence, folded; broken JSON is read as text."""
     if not evidence:
@@ -107,123 +105,142 @@ def quotes(evidence: str | None) -> str:
     return " ".join(evidence.lower().replace("’", "'").split())
 
 
+_DIGITS = re.compile(r"\d+")
+
+
 class Tagger:
-    """Word statistics of the sample and the trained CRF."""
+    """Word rates per language and the trained CRF."""
 
     def __init__(self) -> None:
-        self.lang: dict[str, dict[str, float]] = {}
-        self.total: dict[str, float] = {}
-        self.vocabulary: set[str] = set()
+        self.rates: dict[str, tuple[float, ...]] = {}
+        self.unseen: tuple[float, ...] = (0.0,) * len(SETS)
         self.crf = CRF(TAGS)
         self.ids: dict[str, int] = {}
+        self.asked: dict[str, tuple] = {}
 
     # language
 
     def learn_words(self, rows: list[tuple[str | None, str | None]]) -> None:
-        """Rates of words by the language of the question they answer, and the words seen whole."""
+        """Rates of words by the language of the question they answer."""
         counts = {k: Counter() for k in SETS}
-        finals: Counter = Counter()
         # a question is in the language most of its answers are in
         votes: dict[str, dict[str, float]] = {}
-        for question, answer in rows:
-            if question and answer:
-                vote = votes.setdefault(question, dict.fromkeys(SETS, 0.0))
-                for w in _WORD.findall(f"{question} {plain(answer)}".lower()):
-                    homes = [k for k, s in SETS.items() if w in s]
-                    for k in homes:
-                        vote[k] += 1 / len(homes) ** 2
-        for question, answer in rows:
-            if not question or not answer:
-                continue
-            q = [w.lower() for w in _WORD.findall(question)]
+        texts = [(q, plain(a).lower()) for q, a in rows if q and a]
+        for question, text in texts:
+            vote = votes.setdefault(question, dict.fromkeys(SETS, 0.0))
+            for w in _WORD.findall(f"{question.lower()} {text}"):
+                homes = [k for k, s in SETS.items() if w in s]
+                for k in homes:
+                    vote[k] += 1 / len(homes) ** 2
+        for question, text in texts:
             lang = max(votes[question], key=lambda k: (votes[question][k], k))
-            text = plain(answer)
-            counts[lang].update(q)
-            counts[lang].update(w.lower() for w in _WORD.findall(text))
-            for c in clauses(text):
-                ws = [w.lower() for w in _WORD.findall(c)]
-                stopped = c[-1] in ".!?" and not c.endswith("...")
-                self.vocabulary.update(ws if stopped else ws[:-1])
-                if not stopped:
-                    finals[ws[-1]] += 1
-        # a word that ends very many answers without a stop is a whole word
-        self.vocabulary.update(w for w, n in finals.items() if n >= max(20, len(rows) // 300))
-        for lang, c in counts.items():
-            self.total[lang] = sum(c.values()) + 1000.0
-            self.lang[lang] = {w: n for w, n in c.items()}
-
-    def language(self, text: str) -> tuple[str, float]:
-        """The likeliest language and the lead over the next, per text."""
-        score = dict.fromkeys(SETS, 0.0)
-        for w in set(_WORD.findall(text.lower())):
-            for k in score:
-                score[k] += math.log((self.lang[k].get(w, 0) + 0.2) / self.total[k]) + (0.7 if w in SETS[k] else 0.0)
-        order = sorted(score, key=lambda k: (-score[k], k))
-        return order[0], score[order[0]] - score[order[1]]
+            counts[lang].update(_WORD.findall(question.lower()))
+            counts[lang].update(_WORD.findall(text))
+        total = {k: sum(c.values()) + 1000.0 for k, c in counts.items()}
+        self.unseen = tuple(math.log(0.2 / total[k]) for k in SETS)
+        for w in {w for c in counts.values() for w in c} | {w for s in SETS.values() for w in s}:
+            self.rates[w] = tuple(math.log((counts[k][w] + 0.2) / total[k]) + (0.7 if w in SETS[k] else 0.0) for k in SETS)
+
+    def language(self, words: list[str]) -> tuple[str, float]:
+        """The likeliest language and the lead over the next, by the distinct words."""
+        scores = [sum(x) for x in zip((0.0,) * len(SETS), *(self.rates.get(w, self.unseen) for w in set(words)), strict=True)]
+        first, second = sorted(((-v, k) for v, k in zip(scores, SETS, strict=True)))[:2]
+        return first[1], second[0] - first[0]
 
     # features
 
-    def _cues(self, cs: list[str], question: str | None, evidence: str) -> list[dict]:
-        q = norm(question) if question else ""
-        qlang = self.language(question)[0] if q else None
+    def _question(self, question: str | None) -> tuple:
+        """(folded words, letters, language), kept for the questions seen last."""
+        key = question or ""
+        if key not in self.asked:
+            if len(self.asked) >= 1000:
+                self.asked.clear()
+            words = _WORD.findall(key.lower())
+            self.asked[key] = (words, Counter(" ".join(words)), self.language(words)[0] if words else None)
+        return self.asked[key]
+
+    @staticmethod
+    def _likeness(words: list[str], asked: list[str], letters: Counter) -> float:
+        """How alike a clause and the question are, a few words before or after it left out; 0 below 0.7."""
+        best, q = 0.0, " ".join(asked)
+        extra = len(words) - len(asked)
+        for part in [words] if extra <= 0 else [words, words[extra:], words[: len(asked)]] if extra <= 4 else []:
+            n = " ".join(part)
+            longer = max(len(n), len(q), 1)
+            if abs(len(n) - len(q)) > 0.25 * len(q):
+                continue
+            mine = Counter(n)
+            # letters the one lacks are edits at least
+            if max((letters - mine).total(), (mine - letters).total()) <= 0.3 * longer:
+                best = max(best, 1 - levenshtein(n, q) / longer)
+        return best if best > 0.7 else 0.0
+
+    def _cues(self, cs: list[str], question: str | None, evidence: str | None, tail: int) -> list[dict]:
+        asked, letters, qlang = self._question(question)
         out = []
         for i, c in enumerate(cs):
-            words = [w.lower() for w in _WORD.findall(c)]
-            n = " ".join(words)
+            low = c.lower()
+            words = _WORD.findall(low)
             last = i == len(cs) - 1
-            tail = c.rstrip("\"')] ")
-            end = "dots" if tail.endswith(("...", "…")) else "hyphen" if tail[-1:] in "-‐" else tail[-1:] if tail[-1:] in ".!?" else "none"
-            sim = 0.0
-            if q and abs(len(n) - len(q)) <= 0.25 * len(q):
-                sim = 1 - levenshtein(n, q) / max(len(q), len(n), 1)
-            lang, lead = self.language(c)
+            mark = c.rstrip("\"')] ")
+            end = "dots" if mark.endswith(("...", "…")) else "hyphen" if mark[-1:] in ("-", "‐") else mark[-1:] if mark[-1:] in (".", "!", "?") else "none"
             apart = 0
-            if qlang and lang != qlang:
-                apart = 2 if lead > 3 else 1 if lead > 1 else 0
-            low = " ".join(c.lower().split()).rstrip("-….\"' ")
-            at = evidence.find(low) if len(low) >= 8 else -1
-            rest = evidence[at + len(low) :] if at >= 0 else ""
+            if qlang and words:
+                lang, lead = self.language(words)
+                if lang != qlang:
+                    apart = 2 if lead > 3 else 1 if lead > 1 else 0
+            runs_on = False
+            if last and end in ("none", "hyphen", "dots") and evidence:
+                own = " ".join(low.split()).rstrip("-….\"' ")
+                if len(own) >= 8:
+                    said = quotes(evidence)
+                    at = said.find(own)
+                    rest = said[at + len(own) :] if at >= 0 else ""
+                    runs_on = bool(rest) and (rest[0].isalnum() or (rest[:1] == " " and rest[1:2].islower()))
             out.append(
                 {
-                    "words": words, "last": last, "end": end, "sim": sim, "apart": apart,
-                    "fw_end": bool(words) and words[-1] in DANGLING, "unknown_end": bool(words) and words[-1] not in self.vocabulary,
-                    "runs_on": at >= 0 and bool(rest) and (rest[0].isalnum() or rest[:1] == " " and rest[1:2].islower()),
-                    "after_stop": i > 0 and cs[i - 1][-1:] in ".!?" and cs[i - 1].count(" ") > 3,
+                    "words": words, "last": last, "end": end, "sim": self._likeness(words, asked, letters) if asked else 0.0, "apart": apart,
+                    "fw_end": bool(words) and words[-1] in DANGLING, "tail": tail if last else PLAIN, "runs_on": runs_on,
+                    "after_stop": i > 0 and cs[i - 1][-1:] in (".", "!", "?") and cs[i - 1].count(" ") > 3,
                 }
             )
         return out
 
+    def _id(self, name: str) -> int:
+        k = self.ids.get(name)
+        if k is None:
+            k = hashed([name], self.crf.bits)[0]
+            if len(self.ids) < 200_000:
+                self.ids[name] = k
+        return k
+
     def _features(self, cues: list[dict]) -> list[list[int]]:
         out = []
         for i, x in enumerate(cues):
-            w = [re.sub(r"\d+", "0", v) for v in x["words"]]
-            open_end = x["last"] and x["end"] in ("none", "hyphen", "dots")
-            names = ["bias", f"n{min(len(w), 9)}", f"first{i == 0}", f"last{x['last']}"]
-            names += [f"sim{int(x['sim'] * 10)}" if x["sim"] > 0.7 else "sim-"] * 3
+            w = x["words"]
+            text = " ".join(w)
+            if not text.isalpha():
+                w = _DIGITS.sub("0", text).split(" ") if text else []
+            names = ["bias", f"n{min(len(w), 9)}", "first" if i == 0 else "later", "last" if x["last"] else "inner"]
+            names += [f"sim{int(x['sim'] * 10)}" if x["sim"] else "sim-"] * 3
             names += [f"apart{x['apart']}"] * 3
-            if open_end:
-                names += [f"end={x['end']}", f"fw={x['fw_end']}", f"unk={x['unknown_end']}", f"run={x['runs_on']}"] * 2
+            if x["last"] and x["end"] in ("none", "hyphen", "dots"):
+                names += [f"end={x['end']}", f"fw={x['fw_end']}", f"tail{x['tail']}", f"run={x['runs_on']}"] * 2
                 names += [f"stop={x['after_stop']}", "lead=" + " ".join(w[:2]), "lead1=" + " ".join(w[:1])]
-                names += ["tail=" + " ".join(w[-1:])] + [f"o={v}" for v in set(w)]
-            names += [f"w={v}" for v in set(w)]
+                names += ["end2=" + " ".join(w[-1:])] + ["o=" + v for v in set(w)]
+            names += ["w=" + v for v in set(w)]
             names += [f"b={a}_{b}" for a, b in zip(w, w[1:], strict=False)]
-            ids = []
-            for v in names:
-                k = self.ids.get(v)
-                if k is None:
-                    k = hashed([v], self.crf.bits)[0]
-                    if len(self.ids) < 200_000:
-                        self.ids[v] = k
-                ids.append(k)
-            out.append(ids)
+            out.append([self._id(v) for v in names])
         return out
 
     def _seed(self, cs: list[str], cues: list[dict]) -> list[int]:
         tags = []
         for c, x in zip(cs, cues, strict=True):
-            if x["sim"] >= 0.85:
+            if not x["words"] or (len(cs) == 1 and " ".join(x["words"]) in PLACEHOLDERS):
+                tags.append(VOID)
+            elif x["sim"] >= 0.85:
                 tags.append(ECHO)
-            elif _UNABLE.search(c.replace("’", "'")) or (_AFTER.search(c) and REFUSAL in tags):
+            elif _SPEAKER.search(c.replace("’", "'")) or (_AFTER.search(c) and REFUSAL in tags):
                 tags.append(REFUSAL)
             elif x["apart"] == 2:
                 tags.append(FOREIGN)
@@ -231,44 +248,39 @@ class Tagger:
                 x["end"] in ("hyphen", "dots")
                 or x["end"] == "none"
                 and len(x["words"]) > 1
-                and (x["fw_end"] or x["runs_on"] or x["after_stop"] or (x["unknown_end"] and len(x["words"]) > 4))
+                and (x["fw_end"] or x["runs_on"] or x["after_stop"] or x["tail"] in (PIECE, GOES_ON) or (x["tail"] == UNKNOWN and len(x["words"]) > 4))
             ):
                 tags.append(UNFINISHED)
             else:
                 tags.append(ANSWER)
         return tags
 
-    def train(self, rows: list[tuple[str | None, str | None, str | None]]) -> Tagger:
-        """rows: (question, answer, evidence)."""
-        self.learn_words([(q, a) for q, a, _ in rows])
+    def train(self, rows: list[tuple[str | None, str | None, str | None, int]]) -> Tagger:
+        """rows: (question, answer, evidence, what is known of the last word)."""
+        self.learn_words([(q, a) for q, a, _, _ in rows])
         seqs, labels = [], []
-        for q, a, e in rows:
-            if is_empty(a):
-                continue
-            cs = clauses(plain(a))
-            if cs and len(cs) <= 12:
-                cues = self._cues(cs, q, quotes(e))
-                seqs.append(self._features(cues))
-                labels.append(self._seed(cs, cues))
-        if seqs:
-            self.crf.fit(seqs, labels)
+        void = [(None, x, None, PLAIN) for x in ("", *sorted(PLACEHOLDERS)) for _ in range(5)]
+        for q, a, e, tail in [*rows, *void]:
+            cs = clauses(plain(a or "")) or [""]
+            cues = self._cues(cs, q, e, tail)
+            seqs.append(self._features(cues))
+            labels.append(self._seed(cs, cues))
+        self.crf.fit(seqs, labels)
         return self
 
     # decision
 
-    def defect(self, question: str | None, answer: str | None, evidence: str | None) -> str | None:
-        if is_empty(answer):
-            return "empty"
-        cs = clauses(plain(answer))
-        if not cs:
-            return "empty"
-        tags = self.crf.decode(self._features(self._cues(cs, question, quotes(evidence))))
+    def defect(self, question: str | None, answer: str | None, evidence: str | None, tail: int = PLAIN) -> str | None:
+        cs = clauses(plain(answer or "")) or [""]
+        tags = self.crf.decode(self._features(self._cues(cs, question, evidence, tail)))
         size = [len(c) for c in cs]
         # a short label before an explanation carries no weight of its own
-        if len(cs) > 1 and len(_WORD.findall(cs[0])) <= 4 and cs[0][-1:] not in ".?!" and tags[0] in (ANSWER, FOREIGN):
+        if len(cs) > 1 and cs[0][-1:] not in (".", "?", "!") and tags[0] in (ANSWER, FOREIGN, VOID) and len(_WORD.findall(cs[0])) <= 4:
             size[0] = 0
-        whole = sum(size)
-        share = [sum(s for s, t in zip(size, tags, strict=True) if t == k) / whole for k in range(len(TAGS))]
+        whole = sum(size) or 1
+        share = [sum(s or (len(cs) == 1) for s, t in zip(size, tags, strict=True) if t == k) / whole for k in range(len(TAGS))]
+        if share[VOID] > 0.9:
+            return "empty"
         if share[ECHO] > 0.9:
             return "copied_question"
         if share[REFUSAL] >= 0.5:
@@ -280,17 +292,49 @@ class Tagger:
         return None
 
 
+def last_words(pairs: DataFrame) -> DataFrame:
+    """``answer_id, tail`` of the answers without a final stop whose last word is odd, by counts over all answers.
+
+    A word that ends very many answers without a stop is a whole word; of one that is common
+    inside sentences, less than a fiftieth of the occurrences being last is odd.
+    """
+    token = r"[\p{L}\p{N}]+(?:['’-][\p{L}\p{N}]+)*[.!?]?"
+    rows = pairs.where("answer_id IS NOT NULL AND answer IS NOT NULL").select(
+        "answer_id", F.regexp_extract_all(F.lower("answer"), F.lit(token), F.lit(0)).alias("t"), (~F.col("answer").rlike(r"[.!?][\"')\]]*\s*$") | F.col("answer").rlike(r"(\.\.\.|…)[\"')\]]*\s*$")).alias("open")
+    ).where(F.size("t") > 0)
+    rows = rows.withColumn("at_end", F.when(F.col("open"), F.regexp_replace(F.element_at("t", -1), r"[.!?]$", "")))
+    body = F.when(F.col("open"), F.slice("t", 1, F.greatest(F.size("t") - 1, F.lit(0)))).otherwise(F.col("t"))
+    seen = rows.select(F.explode(body).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    stopped = F.col("w").rlike(r"[.!?]$")
+    known = cut(
+        seen.select(F.regexp_replace("w", r"[.!?]$", "").alias("w"), F.when(stopped, F.col("n")).otherwise(0).alias("ends"), F.when(stopped, 0).otherwise(F.col("n")).alias("mid"))
+        .groupBy("w").agg(F.sum("ends").alias("ends"), F.sum("mid").alias("mid"))
+    )
+    lasts = rows.where("at_end IS NOT NULL").select("answer_id", F.col("at_end").alias("w"))
+    total = pairs.agg(F.count("*").alias("rows"))
+    final = lasts.groupBy("w").agg(F.count("*").alias("fin")).join(known, "w", "left").crossJoin(F.broadcast(total))  # one row
+    unknown = final.where("mid IS NULL AND fin < greatest(20, rows / 300)").select("w")
+    starts = known.where(F.length("w") > 2).select(F.explode(F.transform(F.sequence(F.lit(2), F.length("w") - 1), lambda i: F.substring("w", F.lit(1), i))).alias("w"))
+    pieces = unknown.join(starts, "w", "left_semi").select("w", F.lit(PIECE).alias("tail"))
+    going = final.where("mid >= 10 AND (ends + fin - 1) < 0.02 * (mid + ends)").select("w", F.lit(GOES_ON).alias("tail"))
+    odd = unknown.select("w", F.lit(UNKNOWN).alias("tail")).unionByName(pieces).unionByName(going).groupBy("w").agg(F.max("tail").alias("tail"))
+    return cut(lasts.join(odd, "w").groupBy("answer_id").agg(F.max("tail").alias("tail")))
+
+
 def pair_defects(pairs: DataFrame, sample_rows: int = 12_000) -> DataFrame:
     """``answer_id, defect`` for every distinct defective answer."""
     kind = pairs.schema["answer_id"].dataType.simpleString()
+    tails = last_words(pairs)
     sample = (
         pairs.select("question", "answer", "evidence", F.xxhash64("answer_id").alias("h"), "answer_id")
         .orderBy("h", "answer_id")
         .limit(sample_rows)
+        .join(tails, "answer_id", "left")
+        .orderBy("h", "answer_id")
         .collect()
     )
-    tagger = Tagger().train([(r["question"], r["answer"], r["evidence"]) for r in sample])
-    tagger.ids = {}
+    tagger = Tagger().train([(r["question"], r["answer"], r["evidence"], r["tail"] or PLAIN) for r in sample])
+    tagger.ids, tagger.asked = {}, {}
     shared = pairs.sparkSession.sparkContext.broadcast(tagger)
     rows = pairs.where("answer_id IS NOT NULL").select("answer_id", "loaded_at", "question", "answer", "evidence")
     once = spread(rows, "answer_id").groupBy("answer_id").agg(F.max(F.struct("loaded_at", "question", "answer", "evidence")).alias("x"))
@@ -298,10 +342,12 @@ def pair_defects(pairs: DataFrame, sample_rows: int = 12_000) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = shared.value
         for b in batches:
-            got = [t.defect(q, a, e) for q, a, e in zip(b["question"], b["answer"], b["evidence"], strict=True)]
+            got = [t.defect(*x) for x in zip(b["question"], b["answer"], b["evidence"], b["tail"].tolist(), strict=True)]
             out = pd.DataFrame({"answer_id": b["answer_id"], "defect": got})
             yield out[out["defect"].notna()]
 
-    return once.select("answer_id", "x.question", "x.answer", "x.evidence").mapInPandas(
-        run, f"answer_id {kind}, defect string"
+    return (
+        once.join(tails, "answer_id", "left")
+        .select("answer_id", "x.question", "x.answer", "x.evidence", F.coalesce("tail", F.lit(PLAIN)).alias("tail"))
+        .mapInPandas(run, f"answer_id {kind}, defect string")
     )

@@ -41,10 +41,18 @@ def test_spam_of_nothing(spark):
 
 
 def test_features_of_odd_texts():
-    assert spam.features("...") is None
-    lang, f = spam.features("<a href='x'>y</a> " * 1000)
-    assert len(f) == 6 and all(np.isfinite(f))
-    assert spam.features("wort " * 50_000)[0] == "und"
+    n, lang, x = spam.features(["...", "", "<a href='x'>y</a> " * 1000, "wort " * 50_000, "The cat and the dog.", "See https://a.example/x for it."])
+    assert list(n) == [0, 0, 2000, 50_000, 5, 4] and lang[3] == "und" and lang[4] == "en"
+    assert x.shape == (6, 6) and np.isfinite(x).all()
+    alone = [spam.features([t]) for t in ("wort " * 50_000, "The cat and the dog.")]
+    assert np.allclose(alone[0][2][0], x[3]) and np.allclose(alone[1][2][0], x[4])
+
+
+def test_short_texts_tell_little(spark):
+    rnd = random.Random(5)
+    rows = [(i, honest(rnd)) for i in range(200)] + [(1000 + i, "Aging.") for i in range(20)] + [(2000 + i, spammy(rnd)) for i in range(5)]
+    got = spam.spam_scores(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r["doc_id"] for r in got.where("spam").collect()} == set(range(2000, 2005))
 
 
 def test_crf_learns_a_chain():
@@ -108,7 +116,8 @@ def test_defects_of_pairs(spark):
         n: (q, None, "empty"), n + 1: (q, " ​- ", "empty"), n + 2: (q, "n/a", "empty"), n + 3: (q, "I can't help with that; I am not able to read the paper.", "refusal"),
         n + 4: (q, "La survie a diminué chez les souris dans le foie.", "other_language"), n + 5: (q, "The density of the skin was measured in the", "truncated"),
         n + 6: (q, "Is the marker reprted in the paper", "copied_question"), n + 7: (q, "Yes", None), n + 8: (None, "The weight of the skin was measured in 7 animals and fell with age.", None),
-        n + 9: (q, f"{q} Yes. The weight of the skin was measured in 7 animals and fell with age.", None),
+        n + 10: (q, f"You asked: {q.lower()[:-1]}.", "copied_question"), n + 11: (q, "I'd rather not speculate; please consult someone else.", "refusal"), n + 12: (q, "", "empty"),
+        n + 13: (q, "The density of the musc", "truncated"), n + 14: (q, "w " * 30_000 + ".", None), n + 9: (q, f"{q} Yes. The weight of the skin was measured in 7 animals and fell with age.", None),
     }
     data += [(k, a, b, "{broken", None, "x") for k, (a, b, _) in extra.items()] + [(0, data[0][1], data[0][2], None, None, "x"), (None, q, "x", None, None, "x")]
     got = {r["answer_id"]: r["defect"] for r in pairs.pair_defects(spark.createDataFrame(data, SCHEMA)).collect()}
@@ -124,5 +133,5 @@ def test_defects_of_nothing(spark):
 def test_features_hold_the_whole_clause():
     t = pairs.Tagger().train([])
     text = " ".join(f"{'abcdefghijklmnopqrstuvwxyz'[i]}word" for i in range(26)) + "."
-    got = t._features(t._cues(pairs.clauses(text), None, ""))[0]
+    got = t._features(t._cues(pairs.clauses(text), None, None, pairs.PLAIN))[0]
     assert {pairs.hashed([v], t.crf.bits)[0] for v in ("w=aword", "w=zword", "b=yword_zword")} <= set(got)
