@@ -165,7 +165,7 @@ def _near_titles(keys: DataFrame, window: int, block: int) -> DataFrame:
     window is broken.
     """
     title_id = F.xxhash64("w", "lead")
-    orders = [F.struct(F.lit(k).alias("k"), F.substring(c, 1, 80).alias("s"), F.xxhash64(F.lit(k), c, "lead").alias("i")) for k, c in _sort_keys().items()]
+    orders = [F.struct(F.lit(k).alias("k"), c.alias("s"), F.xxhash64(F.lit(k), c, "lead").alias("i")) for k, c in _sort_keys().items()]
     thin = keys.select("kid", title_id.alias("t"), F.explode(F.array(*orders)).alias("x")).select("kid", "t", "x.*")
     members = thin.select("kid", "i")
     titles = keys.select(title_id.alias("t"), F.struct("w", "lead").alias("r")).dropDuplicates(["t"])
@@ -351,15 +351,26 @@ def match(pubmed: DataFrame, openalex: DataFrame, papers: DataFrame) -> tuple[Da
 
 
 def untied_pairs(rows: DataFrame, article: DataFrame) -> DataFrame:
-    """``key_a, key_b``: keys of different tables for one article that share no usable identifier."""
-    members = rows.groupBy("node", "src", "key").agg(F.collect_set("doi").alias("ds"), F.collect_set("pmid").alias("ps")).join(article, "node")
+    """``key_a, key_b``: keys of different tables for one article that share no usable identifier.
+
+    Keys of one article, table and set of identifiers are a class. Classes meet first, and only
+    the keys of those that make pairs are joined, so no pair is made to be dropped.
+    """
+    members = rows.groupBy("node", "src", "key").agg(F.sort_array(F.collect_set("doi")).alias("ds"), F.sort_array(F.collect_set("pmid")).alias("ps")).join(article, "node")
+    members = cut(members.select("article", "src", "key", "ds", "ps", F.xxhash64("article", "src", "ds", "ps").alias("c")))
     several = members.groupBy("article").agg(F.count_distinct("src").alias("n")).where("n > 1").select("article")
-    m = members.join(several, "article")
-    x, y = m.alias("x"), m.alias("y")
+    classes = members.select("article", "src", "ds", "ps", "c").distinct().join(several, "article")
+    x, y = classes.alias("x"), classes.alias("y")
     order = F.create_map(F.lit("P"), F.lit(0), F.lit("O"), F.lit(1), F.lit("A"), F.lit(2))
-    return (
+    apart = (
         x.join(y, F.col("x.article") == F.col("y.article"))
         .where((order[F.col("x.src")] < order[F.col("y.src")]) & ~F.arrays_overlap("x.ds", "y.ds") & ~F.arrays_overlap("x.ps", "y.ps"))
-        .select(F.least("x.key", "y.key").alias("key_a"), F.greatest("x.key", "y.key").alias("key_b"))
+        .select(F.col("x.c").alias("ca"), F.col("y.c").alias("cb"))
+    )
+    keys = members.select("c", "key")
+    return (
+        apart.join(keys.select(F.col("c").alias("ca"), F.col("key").alias("a")), "ca")
+        .join(keys.select(F.col("c").alias("cb"), F.col("key").alias("b")), "cb")
+        .select(F.least("a", "b").alias("key_a"), F.greatest("a", "b").alias("key_b"))
         .distinct()
     )
