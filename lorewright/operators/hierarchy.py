@@ -60,10 +60,11 @@ def parent_links(nodes: DataFrame) -> DataFrame:
     )
 
 
-def _contract(live: DataFrame) -> DataFrame:
-    """One round: rows of ``live`` with their links updated and ``act`` 0 kept, 1 raked, 2 spliced.
+def _contract(live: DataFrame, paths: bool) -> DataFrame:
+    """One round: rows of ``live`` with their links updated and ``act`` 0 kept, 1 raked, 2 spliced; ``c`` is a spliced node's child.
 
-    The round's number is a column and no literal, so that all rounds share their generated code.
+    With ``paths``, ``name`` and ``seg`` (the names skipped above a node) go along. The round's
+    number is a column and no literal, so that all rounds share their generated code.
     """
     h = lambda c: F.xxhash64(F.col(c), F.col("turn"))
     fan = live.groupBy("p").agg(F.count("*").alias("n"), F.min("v").alias("c")).withColumnRenamed("p", "v")
@@ -75,29 +76,71 @@ def _contract(live: DataFrame) -> DataFrame:
         )
         .otherwise(0),
     )
-    own = F.struct(
-        F.col("v"), F.col("act"), F.col("name"), F.col("p"), F.col("seg"), F.col("turn"), F.lit(None).cast("string").alias("up"),
-        F.lit(None).cast("array<string>").alias("useg"),
-    )
-    handed = F.struct(
-        F.col("c").alias("v"), F.lit(None).cast("int").alias("act"), F.lit(None).cast("string").alias("name"),
-        F.lit(None).cast("string").alias("p"), F.lit(None).cast("array<string>").alias("seg"), F.lit(None).cast("int").alias("turn"),
-        F.col("p").alias("up"), F.concat("seg", F.array("name")).alias("useg"),
-    )
+    kinds = {"v": "string", "act": "int", "p": "string", "c": "string", "turn": "int", "up": "string"}
+    if paths:
+        kinds |= {"name": "string", "seg": "array<string>", "useg": "array<string>"}
+    null = lambda c: F.lit(None).cast(kinds[c]).alias(c)
+    given = {"v": F.col("c"), "up": F.col("p"), "useg": F.concat("seg", F.array("name")) if paths else None}
+    own = F.struct(*[null(c) if c in ("up", "useg") else F.col(c).cast(k).alias(c) for c, k in kinds.items()])
+    handed = F.struct(*[given[c].alias(c) if c in given else null(c) for c in kinds])
     rows = seen.select(
         F.explode(F.when(F.col("act") == 2, F.array(own, handed)).otherwise(F.array(own))).alias("x")
     ).select("x.*")
     # A node has at most one row of its own and one handed down by the parent that left.
-    merged = rows.groupBy("v").agg(
-        *[F.first(c, ignorenulls=True).alias(c) for c in ("act", "name", "p", "seg", "turn", "up", "useg")]
-    )
-    return merged.select(
-        "v",
-        "act",
-        "name",
-        F.coalesce("up", "p").alias("p"),
-        F.when(F.col("up").isNotNull(), F.concat("useg", "seg")).otherwise(F.col("seg")).alias("seg"),
-        (F.col("turn") + 1).alias("turn"),
+    merged = rows.groupBy("v").agg(*[F.first(c, ignorenulls=True).alias(c) for c in kinds if c != "v"])
+    out = ["v", "act", F.coalesce("up", "p").alias("p"), "c", (F.col("turn") + 1).alias("turn")]
+    if paths:
+        out += ["name", F.when(F.col("up").isNotNull(), F.concat("useg", "seg")).otherwise(F.col("seg")).alias("seg")]
+    return merged.select(*out)
+
+
+def _contracted(live: DataFrame, paths: bool) -> tuple[DataFrame, list[DataFrame]]:
+    """(the core: one self-loop for each circle, what every round removed)."""
+    rounds: list[DataFrame] = []
+    while True:
+        state = cut(_contract(live, paths))
+        counts = {r["act"]: (r["n"], r["loops"]) for r in state.groupBy("act").agg(
+            F.count("*").alias("n"), F.count_if(F.col("v") == F.col("p")).alias("loops")).collect()}
+        rounds.append(state.where("act > 0"))
+        live = state.where("act = 0").drop("act", "c")
+        kept, loops = counts.get(0, (0, 0))
+        if kept == loops:
+            return live, rounds
+
+
+def defects(nodes: DataFrame) -> DataFrame:
+    """The nodes outside any sound hierarchy: ``ontology_id, name, kind``, kinds as of ``resolve_hierarchy``.
+
+    No path is built. A raked node is as sound as its parent, and a spliced one lies where its
+    only child lies, so each removal leaves one pointer; the pointers lead to the core or to a root and
+    are followed by doubling.
+    """
+    links = cut(parent_links(nodes))
+    live, rounds = _contracted(links.where(F.col("p").isNotNull()).select("v", "p", F.lit(0).alias("turn")), False)
+    removed = rounds[0]
+    for more in rounds[1:]:
+        removed = removed.unionByName(more)
+    spliced = F.col("act") == 2
+    at = cut(removed.select("v", F.when(spliced, F.col("c")).otherwise(F.col("p")).alias("to"), spliced.alias("chain")))
+    while True:
+        ahead = at.select(F.col("v").alias("to"), F.col("to").alias("next"), F.col("chain").alias("also"))
+        at = cut(
+            at.join(ahead, "to", "left").select(
+                "v", F.coalesce("next", "to").alias("to"), (F.col("chain") & F.coalesce("also", F.lit(True))).alias("chain"), F.col("next").isNotNull().alias("moved")
+            )
+        )
+        moved = at.agg(F.count_if("moved").alias("n")).collect()[0]["n"]
+        at = at.drop("moved")
+        if not moved:
+            break
+    loops = live.select(F.col("v").alias("to"), F.lit(True).alias("loop"))
+    itself = live.select("v", F.col("v").alias("to"), F.lit(True).alias("chain"))
+    ends = at.unionByName(itself).join(loops, "to").select("v", "chain")
+    return (
+        links.join(ends, "v", "left")
+        .withColumn("kind", F.when(F.col("chain"), "cycle").when(~F.col("chain"), "hanging").when(F.col("orphan"), "orphan"))
+        .where("kind IS NOT NULL")
+        .select("ontology_id", "name", "kind")
     )
 
 
@@ -112,16 +155,7 @@ def resolve_hierarchy(nodes: DataFrame) -> DataFrame:
     live = links.where(F.col("p").isNotNull()).select(
         "v", "name", "p", F.array().cast("array<string>").alias("seg"), F.lit(0).alias("turn")
     )
-    rounds: list[DataFrame] = []
-    while True:
-        state = cut(_contract(live))
-        counts = {r["act"]: (r["n"], r["loops"]) for r in state.groupBy("act").agg(
-            F.count("*").alias("n"), F.count_if(F.col("v") == F.col("p")).alias("loops")).collect()}
-        rounds.append(state.where("act > 0"))
-        live = state.where("act = 0").select("v", "name", "p", "seg", "turn")
-        kept, loops = counts.get(0, (0, 0))
-        if kept == loops:
-            break
+    live, rounds = _contracted(live, True)
     known = [
         links.where(F.col("p").isNull()).select(
             "v", F.col("name").alias("root"), F.array("name").alias("path"), F.lit(True).alias("tree")
@@ -177,8 +211,3 @@ def descendants(resolved: DataFrame) -> DataFrame:
         .where(F.col("i") < F.col("depth"))
         .select("ontology_id", "name", "descendant", (F.col("depth") - F.col("i")).alias("distance"))
     )
-
-
-def found(resolved: DataFrame) -> DataFrame:
-    """The nodes outside any sound hierarchy: ``ontology_id, name, kind``."""
-    return resolved.where(F.col("kind") != "node").select("ontology_id", "name", "kind")
