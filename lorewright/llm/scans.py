@@ -32,7 +32,11 @@ CONFUSIONS = {
     "ii": ["u"], "u": ["ii", "n"], "h": ["b", "li"], "b": ["h"], "li": ["h"], "f": ["t"], "t": ["f", "l"], "y": ["v"], "v": ["y"],
     "q": ["g"], "g": ["q"], "l": ["i", "t"], "i": ["l"], "vv": ["w"], "w": ["vv"], "in": ["m"], "nn": ["m"], "j": ["i"],
 }
-FIRST_GUESS = 0.002
+#: Letters read for digits in a number.
+NUMERALS = {"l": "1", "i": "1", "o": "0", "s": "5", "z": "2", "b": "6", "q": "9"}
+#: Longest line a page is set with.
+LONGEST_LINE = 130
+FIRST_GUESS = 0.0001
 #: Weight of a word seen on scanned pages against one seen elsewhere.
 SCAN_WEIGHT = 0.05
 #: Observations a bigram estimate is backed off with.
@@ -54,6 +58,7 @@ _RUNNING = re.compile(rf"^\S.{{2,60}}? [/I|l] (?:[^\W\d_][\w@-]*\.? ){{1,5}}{_NU
 _GAP = re.compile(rf"^(?:{_NUM}\s{{2,}}\S.*|\S.*\S\s{{2,}}{_NUM})$")
 _ET_AL = re.compile(r"(?i)\b[ec][tf] a[l1i]\.?$")
 _TOKEN = r"[\p{L}\p{N}@$|]+(?:[-'’][\p{L}\p{N}@$|]+)*"
+_WORDS = re.compile(r"(?:[^\W_]|[@$|])+(?:[-'’](?:[^\W_]|[@$|])+)*")
 _LEFT = re.compile(rf"([^\W_]+(?:[-'’][^\W_]+)*)([{HYPHENS}])$")
 _RIGHT = re.compile(r"^[^\W_]+(?:[-'’][^\W_]+)*")
 
@@ -71,19 +76,39 @@ def _same_start(line: str, title: str) -> bool:
     return wrong <= max(1, len(a) // 8)
 
 
-def is_paged(lines: list[str]) -> bool:
-    full = [x for x in lines if x.strip()]
-    return len(full) >= 6 and max(map(len, full)) <= 130 and sum(len(x) for x in full) / len(full) > 25
+def wrapped_regions(lines: list[str]) -> list[tuple[int, int]]:
+    """Stretches (start, end) of lines broken as on a page.
+
+    Lines too long for a page part a text. A stretch between them counts if most of its lines
+    run on into a next one and they are of a length that sets prose, so even two lines are judged by themselves.
+    """
+    out, start = [], 0
+    for i in range(len(lines) + 1):
+        if i < len(lines) and len(lines[i]) <= LONGEST_LINE:
+            continue
+        full = [x for x in lines[start:i] if x.strip()]
+        on = sum(bool(x.strip() and y.strip()) for x, y in zip(lines[start:i], lines[start + 1 : i], strict=False))
+        if on * 2 >= len(full) > 1 and sum(map(len, full)) > 25 * len(full):
+            out.append((start, i))
+        start = i + 1
+    return out
 
 
-def sort_lines(text: str, title: str, authors: list[str]) -> list[tuple[int, str, str]] | None:
-    """(line number, kind, text) with kind body, header or page; None if the text has no pages' lines."""
+def sort_lines(text: str, title: str, authors: list[str]) -> list[tuple[int, str, str]]:
+    """(line number, kind, text) with kind body, header, page or clean; clean lines are not set as on a page."""
     raw = text.split("\n")
-    if not is_paged(raw):
-        return None
+    names = {_folded(re.split(r"[,\s]+", a.strip())[-1 if "," not in a else 0]) for a in authors if a and a.strip()}
+    out, done = [], 0
+    for start, end in wrapped_regions(raw):
+        out += [(i + 1, "clean", raw[i]) for i in range(done, start) if raw[i].strip()]
+        out += [(start + no, kind, x) for no, kind, x in _sort_region(raw[start:end], title, names)]
+        done = end
+    return out + [(i + 1, "clean", raw[i]) for i in range(done, len(raw)) if raw[i].strip()]
+
+
+def _sort_region(raw: list[str], title: str, names: set[str]) -> list[tuple[int, str, str]]:
     lines = [x.replace("\x0c", " ").strip() for x in raw]
     n = len(lines)
-    names = {_folded(re.split(r"[,\s]+", a.strip())[-1 if "," not in a else 0]) for a in authors if a and a.strip()}
     single = [bool(x) and (i + 1 == n or not lines[i + 1]) for i, x in enumerate(lines)]
     keys = Counter(_folded(x) for i, x in enumerate(lines) if single[i] and len(x) < 80)
     kinds: list[str] = []
@@ -119,61 +144,57 @@ def sort_lines(text: str, title: str, authors: list[str]) -> list[tuple[int, str
     return [(i + 1, k, x) for i, (k, x) in enumerate(zip(kinds, lines, strict=True)) if k]
 
 
-def page_lines(papers: DataFrame) -> DataFrame:
-    """``identifier, line_no, kind, text, left, right, mark``.
+def page_lines(papers: DataFrame, with_text: bool = False) -> DataFrame:
+    """``identifier, line_no, kind, words, left, right, mark, text``.
 
-    ``kind`` is body, header or page, or clean for a whole text without pages'
-    lines (line 0). Of a body line that ends in a cut word, ``left`` and
+    ``kind`` is body, header, page or clean (a line not set as on a page); ``words`` are the folded words of
+    body and clean lines. Of a body line that ends in a cut word, ``left`` and
     ``right`` are its parts and ``mark`` tells hyphen marks of their own
     ('own') from a plain hyphen in a text that has such marks ('other') or
-    has not ('plain'); those parts are left out of ``text``.
+    has not ('plain'); those parts are left out of ``words`` and ``text``, which is only there if asked for.
     """
-    schema = "identifier string, line_no int, kind string, text string, left string, right string, mark string"
+    schema = "identifier string, line_no int, kind string, words array<string>, left string, right string, mark string, text string"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for key, title, authors, text in zip(b["identifier"], b["title"], b["authors"], b["full_text"], strict=True):
-                sorted_lines = sort_lines(text, title or "", [] if authors is None else list(authors))
-                if sorted_lines is None:
-                    rows.append((key, 0, "clean", text, None, None, None))
-                    continue
-                body = [(no, x) for no, k, x in sorted_lines if k == "body"]
-                rows += [(key, no, k, x, None, None, None) for no, k, x in sorted_lines if k != "body"]
-                cuts = [_LEFT.search(x) for _, x in body]
-                special = any(m and m.group(2) != "-" for m in cuts)
-                carry = 0  # characters at the start of the line that belong to the word before
-                for i, (no, x) in enumerate(body):
-                    m = cuts[i]
-                    nxt = _RIGHT.match(body[i + 1][1]) if m and i + 1 < len(body) else None
-                    start, end = carry, len(x)
+                found = sort_lines(text, title or "", [] if authors is None else list(authors))
+                special = any(k == "body" and (m := _LEFT.search(x)) and m.group(2) != "-" for _, k, x in found)
+                body = [(no, x) for no, k, x in found if k == "body"]
+                after = {no: y for (no, _), (_, y) in zip(body, body[1:], strict=False)}
+                carry = 0  # characters at the start of the next body line that belong to the word before
+                for no, kind, x in found:
+                    if kind in ("header", "page"):
+                        rows.append((key, no, kind, None, None, None, None, x if with_text else None))
+                        continue
+                    start, end = (carry if kind == "body" else 0), len(x)
                     left = right = mark = None
-                    carry = 0
-                    if m and nxt and m.start() >= start and nxt.group().lower() not in SUSPENDED:
-                        left, right = m.group(1), nxt.group()
-                        mark = "plain" if not special else "other" if m.group(2) == "-" else "own"
-                        end, carry = m.start(), nxt.end()
-                    rows.append((key, no, "body", x[start:end], left, right, mark))
-            yield pd.DataFrame(rows, columns=["identifier", "line_no", "kind", "text", "left", "right", "mark"])
+                    if kind == "body":
+                        carry = 0
+                        m = _LEFT.search(x)
+                        nxt = _RIGHT.match(after[no]) if m and no in after else None
+                        if m and nxt and m.start() >= start and nxt.group().lower() not in SUSPENDED:
+                            left, right = m.group(1), nxt.group()
+                            mark = "plain" if not special else "other" if m.group(2) == "-" else "own"
+                            end, carry = m.start(), nxt.end()
+                    rows.append((key, no, kind, _WORDS.findall(x[start:end].lower()), left, right, mark, x[start:end] if with_text else None))
+            yield pd.DataFrame(rows, columns=["identifier", "line_no", "kind", "words", "left", "right", "mark", "text"])
 
     texts = papers.where(F.trim("full_text") != "").select("identifier", "title", "authors", "full_text")
     return spread(texts, "identifier").dropDuplicates(["identifier"]).mapInPandas(run, schema)
 
 
-def _tokens(c: Column) -> Column:
-    return F.regexp_extract_all(F.lower(c), F.lit(_TOKEN), F.lit(0))
-
-
 def word_counts(lines: DataFrame, papers: DataFrame) -> DataFrame:
     """``w, clean, scan``: counts of every word in texts without pages, and on pages."""
-    clean = papers.select(F.explode(F.array("title", "abstract")).alias("text")).where("text IS NOT NULL")
-    seen = lines.where("kind IN ('clean', 'body')").select("text", F.col("kind").alias("k"))
+    heads = papers.select(F.explode(F.array("title", "abstract")).alias("text")).where("text IS NOT NULL")
+    heads = heads.select(F.lit("clean").alias("k"), F.regexp_extract_all(F.lower("text"), F.lit(_TOKEN), F.lit(0)).alias("words"))
     return (
-        seen.unionByName(clean.select("text", F.lit("clean").alias("k")))
-        .select("k", F.explode(_tokens(F.col("text"))).alias("w"))
+        lines.where("kind IN ('clean', 'body')").select(F.col("kind").alias("k"), "words").unionByName(heads)
+        .select("k", F.explode("words").alias("w"))
         .groupBy("w")
         .agg(F.count_if(F.col("k") == "clean").alias("clean"), F.count_if(F.col("k") == "body").alias("scan"))
-    )
+    )
 
 
 def cut_words(lines: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -221,65 +242,93 @@ def back_readings(word: str) -> list[tuple[str, str]]:
                 spots.append((i, size, true))
                 single.setdefault(word[:i] + true + word[i + size :], f"{word[i : i + size]}>{true}")
     out = dict(single)
-    if len(word) >= 7:
-        for a in range(len(spots)):
-            i, si, ti = spots[a]
-            for b in range(a + 1, len(spots)):
-                j, sj, tj = spots[b]
-                if j >= i + si:
-                    cand = word[:i] + ti + word[i + si : j] + tj + word[j + sj :]
-                    out.setdefault(cand, f"{word[i : i + si]}>{ti} {word[j : j + sj]}>{tj}")
+    for a in range(len(spots)):
+        i, si, ti = spots[a]
+        for b in range(a + 1, len(spots)):
+            j, sj, tj = spots[b]
+            if j >= i + si:
+                cand = word[:i] + ti + word[i + si : j] + tj + word[j + sj :]
+                out.setdefault(cand, f"{word[i : i + si]}>{ti} {word[j : j + sj]}>{tj}")
     out.pop(word, None)
     return list(out.items())
 
 
+def number_reading(word: str) -> tuple[str, str] | None:
+    """The number that a word of digits and at most as many letters like digits may be a garbling of, with the confusions."""
+    letters = [c for c in word if not c.isdigit()]
+    if not letters or len(letters) * 2 > len(word) or not all(c in NUMERALS for c in letters):
+        return None
+    return "".join(NUMERALS.get(c, c) for c in word), " ".join(f"{c}>{NUMERALS[c]}" for c in letters)
+
+
+def confusion_chances(rivals: DataFrame, vocab: DataFrame, max_steps: int = 100) -> dict[str, float]:
+    """Log probability of every confusion by expectation-maximisation over all words of the pages.
+
+    rivals: ``w, scan, own, found`` of (word, confusions, count). A word's occurrences are shared out among
+    itself and its rivals by count times channel; a confusion's share of what was printed that way is its chance.
+    """
+    pairs = [f"{a}>{t}" for a, ts in CONFUSIONS.items() for t in ts] + [f"{a}>{t}" for a, t in NUMERALS.items()]
+    printed = sorted({c.split(">")[1] for c in pairs})
+    times = lambda t: F.sum(F.col("scan") * (F.length("w") - F.length(F.replace("w", F.lit(t), F.lit("")))) / len(t))
+    chance_of = vocab.where("scan > 0").agg(*[times(t).alias(f"n{i}") for i, t in enumerate(printed)]).collect()[0]
+    room = {t: (chance_of[f"n{i}"] or 0.0) + 1.0 / FIRST_GUESS for i, t in enumerate(printed)}
+    chance = dict.fromkeys(pairs, FIRST_GUESS)
+    for _ in range(max_steps):
+        at = F.create_map(*[F.lit(x) for c in pairs for x in (c, math.log(chance[c]))])
+        x = F.transform("found", lambda f: F.struct(f["how"].alias("how"), (f["n"] * F.exp(F.aggregate(f["how"], F.lit(0.0), lambda acc, c: acc + at[c]))).alias("x")))
+        shared = rivals.withColumn("xs", x).withColumn("z", F.col("own") + F.aggregate("xs", F.lit(0.0), lambda acc, f: acc + f["x"]))
+        each = shared.select("scan", "z", F.explode("xs").alias("f")).select(F.explode("f.how").alias("c"), (F.col("scan") * F.col("f.x") / F.col("z")).alias("e"))
+        seen = {r["c"]: r["e"] for r in each.groupBy("c").agg(F.sum("e").alias("e")).collect()}  # as long as the list of confusions
+        now = {c: (seen.get(c, 0.0) + 1.0) / room[c.split(">")[1]] for c in pairs}
+        change = max(abs(math.log(now[c] / chance[c])) for c in pairs)
+        chance = {c: min(0.5, v) for c, v in now.items()}
+        if change < 0.02:
+            return {c: math.log(v) for c, v in chance.items()}
+    raise RuntimeError("the chances of confusions did not settle")
+
+
 def readings(vocab: DataFrame) -> DataFrame:
-    """Word types of the pages with rivals: ``w, cands`` of (word, log channel, count), the word itself first."""
+    """Word types of the pages with rivals: ``w, cands`` of (word, log channel, count), the word itself first.
+
+    A word that is seen in clean text is taken to hold one confusion at most, others two, and numbers any.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [
-                (w, n, s, cand, how)
-                for w, n, s in zip(b["w"], b["clean"], b["scan"], strict=True)
-                if len(w) >= 2 and any(ch.isalpha() or ch == "@" for ch in w)
-                for cand, how in back_readings(w)
-                if n == 0 or " " not in how
-            ]
-            yield pd.DataFrame(rows, columns=["w", "clean", "scan", "cand", "how"])
-
-    raw = vocab.where("scan > 0").mapInPandas(run, "w string, clean bigint, scan bigint, cand string, how string")
-    known = vocab.select(F.col("w").alias("cand"), (F.col("clean") + F.col("scan") * SCAN_WEIGHT).alias("n"))
-    own = F.col("clean") + F.col("scan") * SCAN_WEIGHT
-    # symbols such as gene names differ by a letter by right; only a common one counts as a rival
-    symbol = F.col("cand").rlike("^[a-z]+[0-9]+$") & (F.col("n") < 20)
-    hits = cut(raw.join(known.where("n >= 1"), "cand").where(~symbol).withColumn("own", own))
-    # one step of expectation-maximisation over clear cases; a bounded table of confusions
-    clear = hits.where((F.col("clean") == 0) & (F.col("n") > 20 * F.col("own")) & ~F.col("how").contains(" "))
-    total = vocab.agg(F.sum("scan").alias("t")).collect()[0]["t"] or 1
-    seen = {r["how"]: r["t"] for r in clear.groupBy("how").agg(F.sum("scan").alias("t")).collect()}
-    letters = Counter()
-    for how, t in seen.items():
-        letters[how] = t
-    prob = {how: min(0.02, max(1e-5, 25.0 * t / total)) for how, t in letters.items()}
-    chances = vocab.sparkSession.createDataFrame(
-        [(a + ">" + t, float(math.log(prob.get(a + ">" + t, FIRST_GUESS / 20)))) for a, ts in CONFUSIONS.items() for t in ts],
-        "c string, lp double",
-    )
-    scored = (
-        hits.withColumn("c", F.explode(F.split("how", " ")))
-        .join(F.broadcast(chances), "c")  # as long as the list of confusions
-        .groupBy("w", "cand")
-        .agg(F.sum("lp").alias("lp"), F.first("n").alias("n"), F.first("own").alias("own"), F.first("clean").alias("clean"))
+            rows = []
+            for w, n, s in zip(b["w"], b["clean"], b["scan"], strict=True):
+                if len(w) >= 2 and n == 0 and (number := number_reading(w)) is not None:
+                    rows.append((w, n, s, number[0], number[1].split(" "), True))
+                if len(w) >= 2 and any(ch.isalpha() or ch == "@" for ch in w):
+                    rows += [(w, n, s, cand, h, False) for cand, how in back_readings(w) if len(h := how.split(" ")) == 1 or n == 0]
+            yield pd.DataFrame(rows, columns=["w", "clean", "scan", "cand", "how", "number"])
+
+    raw = vocab.where("scan > 0").mapInPandas(run, "w string, clean bigint, scan bigint, cand string, how array<string>, number boolean")
+    weight = F.col("clean") + F.col("scan") * SCAN_WEIGHT
+    known = vocab.select(F.col("w").alias("cand"), weight.alias("n")).where("n >= 1")
+    # numbers are a class: each of a length is as likely as the next, but those that are known
+    digits = {r["k"]: r["n"] for r in vocab.where(F.col("w").rlike("^[0-9]{1,9}$")).groupBy(F.length("w").alias("k")).agg(F.sum(weight).alias("n")).collect()}
+    mass = F.lit(0.0)
+    for k, n in digits.items():
+        mass = F.when(F.length("cand") == k, F.lit(float(n) / (9 * 10 ** (k - 1)))).otherwise(mass)
+    words = raw.where("NOT number").join(known, "cand")
+    numbers = raw.where("number").join(known, "cand", "left").withColumn("n", F.greatest("n", mass)).where("n > 0")
+    both = words.select("w", "clean", "scan", "cand", "how", "n").unionByName(numbers.select("w", "clean", "scan", "cand", "how", "n"))
+    rivals = cut(
+        both.groupBy("w").agg(F.first("clean").alias("clean"), F.first("scan").alias("scan"), F.collect_list(F.struct("cand", "how", "n")).alias("found"))
+        .withColumn("own", weight)
     )
+    chance = confusion_chances(rivals, vocab)
+    at = F.create_map(*[F.lit(x) for c, v in chance.items() for x in (c, v)])
     # a rival is worth weighing if some context could make it win
-    odds = F.col("lp") + F.log("n") - F.log(F.col("own"))
-    rivals = scored.where(F.when(F.col("clean") == 0, odds > -3.0).otherwise(odds > -2.0))
-    best = F.sort_array(F.collect_list(F.struct(odds.alias("o"), "cand", "lp", "n")), asc=False)
-    return rivals.groupBy("w").agg(best.alias("top"), F.first("own").alias("own")).select(
+    scored = F.transform("found", lambda f: F.struct(F.aggregate(f["how"], F.lit(0.0), lambda acc, c: acc + at[c]).alias("lp"), f["cand"].alias("cand"), f["n"].alias("n")))
+    least = F.when(F.col("clean") == 0, -3.0).otherwise(-2.0)
+    top = F.filter("scored", lambda f: f["lp"] + F.log(f["n"]) - F.log(F.col("own")) > least)
+    return rivals.withColumn("scored", scored).withColumn("top", top).where(F.size("top") > 0).select(
         "w",
         F.concat(
             F.array(F.struct(F.col("w").alias("cand"), F.lit(0.0).alias("lp"), F.col("own").alias("n"))),
-            F.transform("top", lambda x: F.struct(x["cand"].alias("cand"), x["lp"].alias("lp"), x["n"].alias("n"))),
+            F.transform(F.sort_array("top", asc=False), lambda x: F.struct(x["cand"].alias("cand"), x["lp"].alias("lp"), x["n"].alias("n"))),
         ).alias("cands"),
     )
 
@@ -289,13 +338,13 @@ def _line_words(lines: DataFrame, cuts: DataFrame) -> DataFrame:
     return (
         lines.where("kind = 'body'")
         .join(cuts, ["identifier", "line_no"], "left")
-        .select("identifier", "line_no", F.array_compact(F.concat(_tokens(F.col("text")), F.array("w"))).alias("words"))
+        .select("identifier", "line_no", F.array_compact(F.concat("words", F.array("w"))).alias("words"))
     )
 
 
 def misread_words(lines: DataFrame, cuts: DataFrame, vocab: DataFrame) -> DataFrame:
     """``identifier, line_no, pos, w, fixed`` of the words decoded to something else."""
-    words = _line_words(lines, cuts)
+    words = cut(_line_words(lines, cuts))
     # a word travels with its two neighbours and not with its line
     at = lambda i: F.get("words", i)
     every = words.select("identifier", "line_no", "words", F.posexplode("words").alias("pos", "w")).select(
@@ -318,7 +367,7 @@ def misread_words(lines: DataFrame, cuts: DataFrame, vocab: DataFrame) -> DataFr
     need = left.unionByName(right).where("a IS NOT NULL AND b IS NOT NULL")
     scanned = words.select("words", F.lit(SCAN_WEIGHT).alias("u"))
     texts = scanned.unionByName(
-        lines.where("kind = 'clean'").select(_tokens(F.col("text")).alias("words"), F.lit(1.0).alias("u"))
+        lines.where("kind = 'clean'").select("words", F.lit(1.0).alias("u"))
     )
     n = F.size("words")
     counts = (
@@ -357,10 +406,9 @@ def misread_words(lines: DataFrame, cuts: DataFrame, vocab: DataFrame) -> DataFr
                 rows += [(key, no, *x) for x in decode(list(sl), prob, total)]
             yield pd.DataFrame(rows, columns=["identifier", "line_no", "pos", "w", "fixed"])
 
-    decoded = slots.join(grams, ["identifier", "line_no"], "left").mapInPandas(
+    return slots.join(grams, ["identifier", "line_no"], "left").mapInPandas(
         run, "identifier string, line_no int, pos int, w string, fixed string"
     )
-    return decoded.unionByName(_garbled_numbers(every, vocab))
 
 
 def decode(slots: list, prob: dict, total: float) -> list[tuple[int, str, str]]:
@@ -406,22 +454,9 @@ def _with_cuts(vocab: DataFrame, cuts: DataFrame) -> DataFrame:
     return vocab.unionByName(more).groupBy("w").agg(F.sum("clean").alias("clean"), F.sum("scan").alias("scan"))
 
 
-def _garbled_numbers(every: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Numbers with letters in place of digits, unless that spelling is in use elsewhere."""
-    shape = (
-        F.col("w").rlike(r"^(?=.*[0-9])[0-9lioOsSbBzq]{2,6}$")
-        & F.col("w").rlike("[a-z]")
-        & ~F.col("w").rlike("^[a-z]{3}")
-        & (F.length(F.regexp_replace("w", "[0-9]", "")) * 2 <= F.length("w"))
-    )
-    odd = vocab.where((F.col("clean") == 0) & shape)
-    fixed = F.translate("w", "lioszbq", "1105269")
-    return every.where(shape).join(odd.select("w"), "w", "left_semi").select("identifier", "line_no", "pos", "w", fixed.alias("fixed"))
-
-
-def analyse(papers: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def analyse(papers: DataFrame, with_text: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(lines, cut words, misread words) of all papers."""
-    lines = cut(page_lines(papers))
+    lines = cut(page_lines(papers, with_text))
     vocab = cut(word_counts(lines, papers.dropDuplicates(["identifier"])))
     cuts = cut(cut_words(lines, vocab))
     return lines, cuts, misread_words(lines, cuts, vocab)
@@ -455,7 +490,11 @@ def assemble(lines: list[tuple[int, str, str, str | None, str | None, list]]) ->
     now, last, broken = "", 0, False
     for no, kind, text, verdict, word, fixes in sorted(lines, key=lambda x: x[0]):
         if kind == "clean":
-            return text.strip()
+            if now:
+                paragraphs.append(now)
+            paragraphs.append(text.strip())
+            now, last, broken = "", no, False
+            continue
         if kind != "body":
             broken, last = True, no
             continue
@@ -484,7 +523,7 @@ def repair(papers: DataFrame) -> DataFrame:
 
     The lines of one paper are brought together; that is as much as its text.
     """
-    lines, cuts, wrong = analyse(papers)
+    lines, cuts, wrong = analyse(papers, True)
     fixes = wrong.groupBy("identifier", "line_no").agg(F.sort_array(F.collect_list(F.struct("pos", "w", "fixed"))).alias("fixes"))
     whole = (
         lines.select("identifier", "line_no", "kind", "text", "left", "right")

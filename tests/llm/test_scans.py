@@ -66,3 +66,26 @@ def test_every_likely_reading_is_weighed(spark):
     vocab = spark.createDataFrame([("tun", 0, 1), *[(w, 1000, 0) for w in rivals]], "w string, clean bigint, scan bigint")
     got = {r["w"]: [c["cand"] for c in r["cands"]] for r in scans.readings(vocab).collect()}
     assert got["tun"][0] == "tun" and sorted(got["tun"][1:]) == sorted(rivals)
+
+
+def test_short_and_mixed_texts_are_judged_by_their_parts(spark):
+    body = SCAN.split("\n")[:5]
+    assert scans.wrapped_regions(body) == [(0, 5)] and scans.wrapped_regions(body[:2]) == [(0, 2)]
+    long = "x" * 131
+    assert scans.wrapped_regions([*body, long, *body]) == [(0, 5), (6, 11)]
+    assert scans.wrapped_regions([long, "Methods", long, "", "Results", "", long]) == []
+    rows = [*clean_papers(), ("s", "t", None, None, "\n".join([*body[:3], "y " * 80, *SCAN.split("\n")[:2], "Page 3 of 9"]), "x", "y")]
+    got = {(r["line_no"], r["kind"]) for r in scans.findings(papers(spark, rows)).collect()}
+    assert got == {(1, "join"), (2, "keep"), (3, "misread"), (5, "join"), (7, "page")}
+
+
+def test_numbers_go_through_the_channel(spark):
+    assert scans.number_reading("2o1l") == ("2011", "o>0 l>1") and scans.number_reading("p16") is None and scans.number_reading("lo1") is None
+    vocab = spark.createDataFrame([("2o11", 0, 1), ("b1", 50, 3), *[(str(y), 40, 2) for y in range(1990, 2020)], *[(str(d), 60, 5) for d in range(10, 99)]], "w string, clean bigint, scan bigint")
+    got = {r["w"]: [c["cand"] for c in r["cands"]] for r in scans.readings(vocab).collect()}
+    assert got["2o11"] == ["2o11", "2011"] and "b1" not in got
+
+
+def test_two_confusions_in_a_short_word():
+    assert ("model", "rn>m cl>d") in scans.back_readings("rnoclel")
+    assert "mod" in dict(scans.back_readings("rnocl"))
