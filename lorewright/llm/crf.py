@@ -29,18 +29,19 @@ class CRF:
         k = len(self.tags)
         gw = np.full_like(self.w, 1e-3)
         gt, gs = np.full_like(self.trans, 1e-3), np.full_like(self.start, 1e-3)
-        groups = [idx[a : a + batch] for _, idx in sorted(by_len.items()) for a in range(0, len(idx), batch)]
+        groups = []
+        for _, same in sorted(by_len.items()):
+            for a in range(0, len(same), batch):
+                idx = same[a : a + batch]
+                flat = np.array([f for i in idx for clause in seqs[i] for f in clause])
+                many = np.array([len(c) for i in idx for c in seqs[i]])
+                uniq, inv = np.unique(flat, return_inverse=True)
+                groups.append((len(idx), len(seqs[idx[0]]), flat, many, uniq, inv, np.array([labels[i] for i in idx])))
         rng = np.random.default_rng(11)
         for _ in range(epochs):
             for g in rng.permutation(len(groups)):
-                idx = groups[g]
-                n, t_len = len(idx), len(seqs[idx[0]])
-                flat = [f for i in idx for clause in seqs[i] for f in clause]
-                owner = np.repeat(np.arange(n * t_len), [len(c) for i in idx for c in seqs[i]])
-                flat = np.array(flat)
-                em = np.zeros((n * t_len, k))
-                np.add.at(em, owner, self.w[flat])
-                em = em.reshape(n, t_len, k)
+                n, t_len, flat, many, uniq, inv, y = groups[g]
+                em = _sums(self.w, flat, many).astype(np.float64).reshape(n, t_len, k)
                 alpha, beta = np.zeros_like(em), np.zeros_like(em)
                 alpha[:, 0] = em[:, 0] + self.start
                 for t in range(1, t_len):
@@ -49,7 +50,6 @@ class CRF:
                     beta[:, t] = _lse(self.trans[None] + (em[:, t + 1] + beta[:, t + 1])[:, None, :], 2)
                 z = _lse(alpha[:, -1], 1)
                 post = np.exp(alpha + beta - z[:, None, None])
-                y = np.array([labels[i] for i in idx])
                 grad = -post
                 np.put_along_axis(grad, y[:, :, None], np.take_along_axis(grad, y[:, :, None], 2) + 1, 2)
                 gtr = np.zeros_like(self.trans)
@@ -60,11 +60,8 @@ class CRF:
                     )
                     gtr -= pair.sum(0)
                     np.add.at(gtr, (y[:, t - 1], y[:, t]), 1)
-                step = np.zeros((n * t_len, k))
-                step[:] = grad.reshape(-1, k)
-                uniq, inv = np.unique(flat, return_inverse=True)
-                gsum = np.zeros((len(uniq), k))
-                np.add.at(gsum, inv, step[owner])
+                step = np.repeat(grad.reshape(-1, k), many, axis=0)
+                gsum = np.stack([np.bincount(inv, step[:, j], len(uniq)) for j in range(k)], 1)
                 gsum = gsum / n - l2 * self.w[uniq]
                 gw[uniq] += gsum**2
                 self.w[uniq] += (rate * gsum / np.sqrt(gw[uniq])).astype(np.float32)
@@ -76,6 +73,27 @@ class CRF:
                 self.start += rate * gst / np.sqrt(gs)
         return self
 
+    def decode_all(self, seqs: list[list[list[int]]]) -> list[list[int]]:
+        """The likeliest tags of many sequences, those of one length together."""
+        by_len: dict[int, list[int]] = {}
+        for i, s in enumerate(seqs):
+            by_len.setdefault(len(s), []).append(i)
+        out: list[list[int]] = [[] for _ in seqs]
+        for t_len, idx in by_len.items():
+            flat = np.array([f for i in idx for c in seqs[i] for f in c])
+            em = _sums(self.w, flat, np.array([len(c) for i in idx for c in seqs[i]])).astype(np.float64).reshape(len(idx), t_len, -1)
+            score, back = em[:, 0] + self.start, []
+            for t in range(1, t_len):
+                s = score[:, :, None] + self.trans
+                back.append(s.argmax(1))
+                score = s.max(1) + em[:, t]
+            path = [score.argmax(1)]
+            for b in reversed(back):
+                path.append(b[np.arange(len(idx)), path[-1]])
+            for i, tags in zip(idx, np.stack(path[::-1], 1).tolist(), strict=True):
+                out[i] = tags
+        return out
+
     def decode(self, seq: list[list[int]]) -> list[int]:
         """The likeliest tags, by Viterbi."""
         em = [self.w[f].sum(0) for f in seq]
@@ -90,6 +108,11 @@ class CRF:
         return path[::-1]
 
 
+def _sums(w: np.ndarray, flat: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Summed weights of each clause's features; every clause has at least one."""
+    return np.add.reduceat(w[flat], np.r_[0, np.cumsum(many)[:-1]])
+
+
 def _lse(x: np.ndarray, axis: int) -> np.ndarray:
     m = x.max(axis, keepdims=True)
     return (m + np.log(np.exp(x - m).sum(axis, keepdims=True))).squeeze(axis)

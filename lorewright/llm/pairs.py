@@ -30,6 +30,7 @@ from lorewright.llm.wordlists import SETS
 from lorewright.session import cut, spread
 
 TAGS = ["answer", "refusal", "echo", "foreign", "unfinished", "void"]
+LANGS = list(SETS)
 ANSWER, REFUSAL, ECHO, FOREIGN, UNFINISHED, VOID = range(6)
 #: Texts that stand for no answer; training cases.
 PLACEHOLDERS = {"null", "none", "n a", "na", "nan", "nil", "tbd", "undefined", "no answer", "empty", "missing"}
@@ -143,9 +144,13 @@ class Tagger:
 
     def language(self, words: list[str]) -> tuple[str, float]:
         """The likeliest language and the lead over the next, by the distinct words."""
-        scores = [sum(x) for x in zip((0.0,) * len(SETS), *(self.rates.get(w, self.unseen) for w in set(words)), strict=True)]
-        first, second = sorted(((-v, k) for v, k in zip(scores, SETS, strict=True)))[:2]
-        return first[1], second[0] - first[0]
+        scores, get, unseen = [0.0] * len(SETS), self.rates.get, self.unseen
+        for w in set(words):
+            scores = [a + b for a, b in zip(scores, get(w, unseen))]  # noqa: B905
+        top = max(scores)
+        at = scores.index(top)
+        scores[at] = -math.inf
+        return LANGS[at], top - max(scores)
 
     # features
 
@@ -207,15 +212,13 @@ class Tagger:
         return out
 
     def _id(self, name: str) -> int:
-        k = self.ids.get(name)
-        if k is None:
-            k = hashed([name], self.crf.bits)[0]
-            if len(self.ids) < 200_000:
-                self.ids[name] = k
+        k = hashed([name], self.crf.bits)[0]
+        if len(self.ids) < 200_000:
+            self.ids[name] = k
         return k
 
     def _features(self, cues: list[dict]) -> list[list[int]]:
-        out = []
+        out, known = [], self.ids.get
         for i, x in enumerate(cues):
             w = x["words"]
             text = " ".join(w)
@@ -230,7 +233,7 @@ class Tagger:
                 names += ["end2=" + " ".join(w[-1:])] + ["o=" + v for v in set(w)]
             names += ["w=" + v for v in set(w)]
             names += [f"b={a}_{b}" for a, b in zip(w, w[1:], strict=False)]
-            out.append([self._id(v) for v in names])
+            out.append([k if (k := known(v)) is not None else self._id(v) for v in names])
         return out
 
     def _seed(self, cs: list[str], cues: list[dict]) -> list[int]:
@@ -270,9 +273,16 @@ class Tagger:
 
     # decision
 
-    def defect(self, question: str | None, answer: str | None, evidence: str | None, tail: int = PLAIN) -> str | None:
-        cs = clauses(plain(answer or "")) or [""]
-        tags = self.crf.decode(self._features(self._cues(cs, question, evidence, tail)))
+    def defects(self, rows: list[tuple[str | None, str | None, str | None, int]]) -> list[str | None]:
+        """rows as for ``train``; they are tagged together."""
+        parts = [clauses(plain(a or "")) or [""] for _, a, _, _ in rows]
+        feats = [self._features(self._cues(cs, q, e, tail)) for cs, (q, _, e, tail) in zip(parts, rows, strict=True)]
+        return [self._verdict(cs, tags) for cs, tags in zip(parts, self.crf.decode_all(feats), strict=True)]
+
+    @staticmethod
+    def _verdict(cs: list[str], tags: list[int]) -> str | None:
+        if not any(tags):
+            return None
         size = [len(c) for c in cs]
         # a short label before an explanation carries no weight of its own
         if len(cs) > 1 and cs[0][-1:] not in (".", "?", "!") and tags[0] in (ANSWER, FOREIGN, VOID) and len(_WORD.findall(cs[0])) <= 4:
@@ -298,19 +308,18 @@ def last_words(pairs: DataFrame) -> DataFrame:
     A word that ends very many answers without a stop is a whole word; of one that is common
     inside sentences, less than a fiftieth of the occurrences being last is odd.
     """
-    token = r"[\p{L}\p{N}]+(?:['’-][\p{L}\p{N}]+)*[.!?]?"
-    rows = pairs.where("answer_id IS NOT NULL AND answer IS NOT NULL").select(
-        "answer_id", F.regexp_extract_all(F.lower("answer"), F.lit(token), F.lit(0)).alias("t"), (~F.col("answer").rlike(r"[.!?][\"')\]]*\s*$") | F.col("answer").rlike(r"(\.\.\.|…)[\"')\]]*\s*$")).alias("open")
-    ).where(F.size("t") > 0)
-    rows = rows.withColumn("at_end", F.when(F.col("open"), F.regexp_replace(F.element_at("t", -1), r"[.!?]$", "")))
+    word = r"[\p{L}\p{N}]+(?:['’-][\p{L}\p{N}]+)*"
+    said = pairs.where("answer_id IS NOT NULL AND answer IS NOT NULL").select("answer_id", F.lower("answer").alias("a"))
+    is_open = ~F.col("a").rlike(r"[.!?][\"')\]]*\s*$") | F.col("a").rlike(r"(\.\.\.|…)[\"')\]]*\s*$")
+    tokens = said.select(F.regexp_extract_all("a", F.lit(rf"{word}[.!?]?"), F.lit(0)).alias("t"), is_open.alias("open"))
     body = F.when(F.col("open"), F.slice("t", 1, F.greatest(F.size("t") - 1, F.lit(0)))).otherwise(F.col("t"))
-    seen = rows.select(F.explode(body).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    seen = tokens.select(F.explode(body).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
     stopped = F.col("w").rlike(r"[.!?]$")
     known = cut(
         seen.select(F.regexp_replace("w", r"[.!?]$", "").alias("w"), F.when(stopped, F.col("n")).otherwise(0).alias("ends"), F.when(stopped, 0).otherwise(F.col("n")).alias("mid"))
         .groupBy("w").agg(F.sum("ends").alias("ends"), F.sum("mid").alias("mid"))
     )
-    lasts = rows.where("at_end IS NOT NULL").select("answer_id", F.col("at_end").alias("w"))
+    lasts = said.where(is_open).select("answer_id", F.regexp_extract("a", rf"({word})[^\p{{L}}\p{{N}}]*$", 1).alias("w")).where("w <> ''")
     total = pairs.agg(F.count("*").alias("rows"))
     final = lasts.groupBy("w").agg(F.count("*").alias("fin")).join(known, "w", "left").crossJoin(F.broadcast(total))  # one row
     unknown = final.where("mid IS NULL AND fin < greatest(20, rows / 300)").select("w")
@@ -342,7 +351,9 @@ def pair_defects(pairs: DataFrame, sample_rows: int = 12_000) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = shared.value
         for b in batches:
-            got = [t.defect(*x) for x in zip(b["question"], b["answer"], b["evidence"], b["tail"].tolist(), strict=True)]
+            rows, got = list(zip(b["question"], b["answer"], b["evidence"], b["tail"].tolist(), strict=True)), []
+            for a in range(0, len(rows), 1000):
+                got += t.defects(rows[a : a + 1000])
             out = pd.DataFrame({"answer_id": b["answer_id"], "defect": got})
             yield out[out["defect"].notna()]
 
