@@ -10,7 +10,7 @@ from lorewright.operators import bookkeeping as B
 from lorewright.operators import bootstrap as BS
 from lorewright.operators import coverage as V
 from lorewright.operators import relevance as R
-from lorewright.plans.text_queries import t
+from lorewright.plans.text_queries import ANALYSIS, t
 from lorewright.session import table
 
 QUERIES: dict = {}
@@ -277,13 +277,42 @@ def str_late_rows(spark, sf):
     )
 
 
-@query("tree_review_trees")
+def _event_sql(name: str, pattern: str) -> str:
+    """Matches with their places, from the lengths between them."""
+    return f"""{name} AS (SELECT identifier, h[i] AS hit, list_sum(list_transform(g[1:i], lambda y: length(y))) + coalesce(list_sum(list_transform(h[1:i - 1], lambda y: length(y))), 0) AS loc
+  FROM (SELECT *, unnest(range(1, len(h) + 1)) AS i FROM (SELECT identifier, regexp_extract_all(text, '{pattern}') AS h, regexp_split_to_array(text, '{pattern}') AS g FROM texts)))"""
+
+
+_TIDY = "regexp_replace(trim(regexp_replace({}, '\\s+', ' ', 'g')), '[\\s:,.;-]+$', '')"
+_LEAD = "(?i)^sub(?:theories|domains|concepts)?\\s*[:=-]\\s*"
+
+
+@query(
+    "tree_review_trees",
+    f"""WITH texts AS (SELECT theory_id AS identifier, chr(10) || 'The ' || label || ' has subtheories: ' || coalesce(array_to_string(aliases, '; '), '') AS text FROM aging_ontology
+  UNION SELECT 'n-' || theory_id, chr(10) || label || chr(10) || coalesce(array_to_string(list_transform(notes, lambda n: '- ' || n), chr(10)), '') FROM aging_ontology
+  UNION SELECT identifier, coalesce(title, '') || chr(10) || {ANALYSIS} FROM papers WHERE is_review),
+{_event_sql("names", BS.NAME)}, {_event_sql("lists", BS.LIST)}, {_event_sql("bullets", BS.BULLET)},
+n AS (SELECT identifier, theory, loc, loc + length(hit) AS fin FROM (SELECT *, {_TIDY.format("hit")} AS theory FROM names) QUALIFY row_number() OVER (PARTITION BY identifier, lower(theory) ORDER BY loc) = 1),
+l AS (SELECT n.identifier, n.theory, l.loc, regexp_replace(substr(l.hit, 1, CAST(n.fin + 200 - l.loc AS BIGINT)), '{_LEAD}', '') AS body FROM n JOIN lists l ON l.identifier = n.identifier AND l.loc >= n.loc - 80 AND l.loc < n.fin + 200
+  QUALIFY row_number() OVER (PARTITION BY n.identifier, n.theory ORDER BY l.loc) = 1),
+p AS (SELECT identifier, theory, i AS o, {_TIDY.format("x[i]")} AS part FROM (SELECT *, unnest(range(1, len(x) + 1)) AS i FROM (SELECT *, regexp_split_to_array(body, '[,;]') AS x FROM l))
+  UNION ALL SELECT n.identifier, n.theory, b.loc, {_TIDY.format("regexp_replace(substr(b.hit, 1, CAST(n.fin + 200 - b.loc AS BIGINT)), '^-\\s*', '')")} FROM n JOIN bullets b ON b.identifier = n.identifier AND b.loc >= n.loc - 80 AND b.loc < n.fin + 200
+    WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.identifier = n.identifier AND l.theory = n.theory)),
+r AS (SELECT *, row_number() OVER (PARTITION BY identifier, theory ORDER BY o) - 1 AS pos FROM p WHERE part <> '')
+SELECT n.identifier, n.theory, r.part, CAST(coalesce(r.pos, 0) AS INTEGER) AS pos FROM n LEFT JOIN r ON r.identifier = n.identifier AND r.theory = n.theory""",
+)
 def tree_review_trees(spark, sf):
-    """Registry entries written out as reviews would, and read back with the parts listed near them."""
+    """The reviews among the papers, and every registry entry written out as reviews do, with a list and with bullets."""
     o = table(spark, sf, "aging_ontology")
-    text = F.concat(F.lit("The "), "label", F.lit(" has subtheories: "), F.array_join(F.coalesce("aliases", F.array().cast("array<string>")), "; "))
+    nothing = F.array().cast("array<string>")
+    lists = F.concat(F.lit("The "), "label", F.lit(" has subtheories: "), F.array_join(F.coalesce("aliases", nothing), "; "))
+    bullets = F.concat("label", F.lit("\n"), F.array_join(F.transform(F.coalesce("notes", nothing), lambda n: F.concat(F.lit("- "), n)), "\n"))
+    written = o.select(F.explode(F.array(F.struct(F.col("theory_id").alias("identifier"), lists.alias("full_text")), F.struct(F.concat(F.lit("n-"), "theory_id").alias("identifier"), bullets.alias("full_text")))).alias("x")).select("x.*")
     none = F.lit(None).cast("array<struct<title:string,text:string>>")
-    return BS.review_trees(o.select(F.col("theory_id").alias("identifier"), F.lit("").alias("title"), text.alias("full_text"), none.alias("sections"), F.lit(None).cast("string").alias("abstract")))
+    written = written.select("identifier", F.lit("").alias("title"), "full_text", none.alias("sections"), F.lit(None).cast("string").alias("abstract"))
+    papers = table(spark, sf, "papers").where("is_review").select("identifier", "title", "full_text", "sections", "abstract")
+    return BS.review_trees(written.unionByName(papers))
 
 
 @query(

@@ -6,10 +6,28 @@ from lorewright.operators import bookkeeping as B
 from lorewright.operators import bootstrap as BS
 
 
-def test_theories_and_parts_of_a_review():
-    text = "The Free Radical Theory is old. Subtheories: oxidative damage; mitochondrial leak.\n" + "x" * 400 + "\nA Rate Model\n- slow living\n- fast living\n"
-    assert BS.theories_in(text) == [("The Free Radical Theory", ["oxidative damage", "mitochondrial leak"]), ("A Rate Model", ["slow living", "fast living"])]
-    assert BS.theories_in("") == []
+REVIEW = "identifier string, title string, full_text string, sections array<struct<title:string,text:string>>, abstract string, at string"
+
+
+def test_theories_and_parts_of_a_review(spark):
+    text = "The Free Radical Theory is old. Subtheories: oxidative damage; mitochondrial leak.\n" + "x" * 400 + "\nA Rate Model\n- slow living\n- fast living\nThe Free Radical Theory\n"
+    far = "Lone Theory" + "y" * 200 + "subtheories: a, b"
+    golden = "Activity Theory examines engagement. Subtheories: Engagement; Participation.\n" + "z" * 250
+    rows = [("r", "", text, None, None, "x"), ("e", None, None, None, " ", "x"), ("f", None, far, None, None, "x"), (None, "x", "A Theory", None, None, "x"), ("g", "", golden, None, None, "x"), ("g", "", golden, None, None, "x")]
+    got = {}
+    for r in BS.review_trees(spark.createDataFrame(rows, REVIEW)).orderBy("identifier", "theory", "pos").collect():
+        got.setdefault((r["identifier"], r["theory"]), []).append(r["part"])
+    assert got == {
+        ("r", "The Free Radical Theory"): ["oxidative damage", "mitochondrial leak"], ("r", "A Rate Model"): ["slow living", "fast living"],
+        ("f", "Lone Theory"): [None], ("g", "Activity Theory"): ["Engagement", "Participation"],
+    }
+    assert BS.review_trees(spark.createDataFrame([], REVIEW)).count() == 0
+
+
+def test_places_of_events(spark):
+    text = "aXX-bXXXcdX"
+    got = [(r["at"], r["hit"]) for r in BS.events(spark.createDataFrame([("t", text)], "identifier string, text string"), "X+").orderBy("at").collect()]
+    assert got == [(1, "XX"), (5, "XXX"), (10, "X")]
 
 
 def test_suggested_queries_go_bottom_up_without_repeats(spark):
