@@ -21,11 +21,19 @@ def confidence_text(c: Column) -> Column:
 
 
 def fill_template(template: Column, values: dict[str, Column]) -> Column:
-    """``{name}`` replaced by its value; names without one become empty."""
-    out = template
-    for k, v in values.items():
-        out = F.replace(out, F.lit("{" + k + "}"), F.coalesce(v.cast("string"), F.lit("")))
-    return F.regexp_replace(out, r"\{[A-Za-z_]+\}", "")
+    """``{name}`` replaced by its value; names without one become empty. Values are not looked into."""
+    name = r"\{[A-Za-z_]+\}"
+
+    def value(n: Column) -> Column:
+        out = F.lit("")
+        for k, v in values.items():
+            out = F.when(n == "{" + k + "}", F.coalesce(v.cast("string"), F.lit(""))).otherwise(out)
+        return out
+
+    gaps, names = F.split(template, name, -1), F.regexp_extract_all(template, F.lit(name), F.lit(0))
+    # one gap more than names
+    pieces = F.zip_with(gaps, names, lambda g, n: F.concat(g, F.when(n.isNull(), "").otherwise(value(n))))
+    return F.array_join(pieces, "")
 
 
 def excerpt(text: Column, limit: int = 4000) -> Column:

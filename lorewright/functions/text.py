@@ -1,7 +1,10 @@
-"""Text normalisation expressions; all run JVM-side."""
+"""Text normalisation expressions; all run JVM-side, but for entities beyond the usual few."""
 
 from __future__ import annotations
 
+import html
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -68,16 +71,30 @@ def slug_per_char(c: Column | str, default: str = "theory") -> Column:
     return F.coalesce(F.nullif(F.regexp_replace(s, "^-+|-+$", ""), F.lit("")), F.lit(default))
 
 
-def strip_html(c: Column | str, strip_scripts: bool = True, limit: int = 500_000) -> Column:
-    """Text of mark-up: breaks become line ends, tags blanks, common entities characters."""
+def unescape(c: Column) -> Column:
+    """Entities, named and numeric, as characters; only texts that hold a rarer one than the usual few leave the engine."""
+
+    @F.pandas_udf("string")
+    def slow(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda x: None if x is None else html.unescape(x).replace("\xa0", " "))
+
+    t = c
+    for entity, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " ")):
+        t = F.replace(t, F.lit(entity), F.lit(ch))
+    plain = F.replace(t, F.lit("&amp;"), F.lit("&"))
+    rare = F.replace(c, F.lit("&amp;"), F.lit("")).rlike(r"&(?!(?:lt|gt|quot|nbsp|#39);)(?:[A-Za-z][A-Za-z0-9]{1,31}|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});")
+    return F.when(rare, slow(F.when(rare, c))).otherwise(plain)
+
+
+def strip_html(c: Column | str, strip_scripts: bool = True, limit: int | None = None) -> Column:
+    """Text of mark-up: breaks become line ends, tags blanks, entities characters; cut at ``limit`` characters only if one is given."""
     t = _col(c)
     if strip_scripts:
         t = F.regexp_replace(t, r"(?is)<(script|style)[^>]*>.*?</(script|style)>", " ")
     t = F.regexp_replace(t, r"(?i)<br\s*/?>|</p>", "\n")
     t = F.regexp_replace(t, r"<[^>]+>", " ")
-    for entity, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        t = F.replace(t, F.lit(entity), F.lit(ch))
-    return F.left(trimmed(F.regexp_replace(t, r"[ \t]+", " ")), F.lit(limit))
+    t = trimmed(F.regexp_replace(unescape(t), r"[ \t]+", " "))
+    return t if limit is None else F.left(t, F.lit(limit))
 
 
 def tidy_lines(c: Column | str) -> Column:

@@ -109,7 +109,8 @@ def parents_by_name(nodes: DataFrame, wanted: DataFrame, within: tuple[str, ...]
 
 def insert_nodes(nodes: DataFrame, new: DataFrame) -> DataFrame:
     """New nodes appended; a known name is left as it is, an unknown parent is an error. Both: name, parent."""
-    fresh = new.join(nodes.select("name"), "name", "left_anti").dropDuplicates(["name"])
+    # of a name given twice, the one with the smallest parent goes in
+    fresh = new.join(nodes.select("name"), "name", "left_anti").groupBy("name").agg(F.min("parent").alias("parent"))
     known = nodes.select("name").unionByName(fresh.select("name")).withColumnRenamed("name", "parent").distinct().withColumn("known", F.lit(True))
     checked = fresh.join(known, "parent", "left").select(
         "name",

@@ -6,7 +6,7 @@ and returns rows; no network is used.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lorewright.functions.keys import doi_norm, openalex_norm
@@ -27,8 +27,9 @@ _S2 = "data array<struct<paperId:string,corpusId:string,externalIds:map<string,s
 _RXIV = "collection array<struct<doi:string,title:string,authors:string,abstract:string,category:string,date:string>>, messages array<struct<count:int,total:int,cursor:int>>"
 
 
-def _items(pages: DataFrame, schema: str, path: str) -> DataFrame:
-    return pages.select(F.from_json("page", schema).alias("p")).select(F.explode(f"p.{path}").alias("x"))
+def _items(pages: DataFrame, schema: str, path: str, order: tuple[str, ...] = ()) -> DataFrame:
+    """``x`` for every item of the pages; with the columns of the pages to order by and the item's place."""
+    return pages.select(*order, F.from_json("page", schema).alias("p")).select(*order, F.posexplode(f"p.{path}").alias("place", "x"))
 
 
 def openalex_papers(pages: DataFrame) -> DataFrame:
@@ -44,9 +45,15 @@ def openalex_papers(pages: DataFrame) -> DataFrame:
 
 
 def openalex_reviews(pages: DataFrame) -> DataFrame:
-    """Works as review records; the PubMed id is the last part of its address. The first row of a work is kept."""
+    """Works as review records; the PubMed id is the last part of its address.
+
+    The first row of a work is kept, by the column ``number`` of the pages where there is one, then by place in the page;
+    works without an id are each their own.
+    """
     x = F.col
-    rows = _items(pages, _OPENALEX, "results").select(
+    order = ("number",) if "number" in pages.columns else ()
+    rows = _items(pages, _OPENALEX, "results", order).select(
+        *order, "place",
         F.element_at(F.split("x.ids.pmid", "/"), -1).alias("pmid"), F.coalesce("x.title", "x.display_name").alias("title"),
         decode_inverted(x("x.abstract_inverted_index")).alias("abstract"), F.array_compact(F.array(x("x.type"), x("x.type_crossref"))).alias("publication_types"),
         F.transform("x.authorships", lambda a: a["author"]["display_name"]).alias("authors"), x("x.primary_location.source.display_name").alias("journal"),
@@ -55,7 +62,11 @@ def openalex_reviews(pages: DataFrame) -> DataFrame:
         F.map_filter(F.create_map(F.lit("best"), x("x.best_oa_location.pdf_url"), F.lit("primary"), x("x.primary_location.pdf_url")), lambda k, v: v.isNotNull()).alias("fulltext_links"),
         F.to_json("x.open_access").alias("open_access"),
     )
-    return rows.dropDuplicates(["openalex_id"])
+    names = [c for c in rows.columns if c not in (*order, "place")]
+    # as a map has no order, rows of one place are told apart by their text
+    first = F.struct(*order, "place", F.to_json(F.struct(*names)))
+    named = rows.where("openalex_id IS NOT NULL").groupBy("openalex_id").agg(F.min_by(F.struct(*names), first).alias("r")).select("r.*")
+    return named.unionByName(rows.where("openalex_id IS NULL").select(*names))
 
 
 def crossref_papers(pages: DataFrame) -> DataFrame:
@@ -99,6 +110,56 @@ def semantic_scholar_papers(pages: DataFrame) -> DataFrame:
     )
 
 
+_ACCESS = "result array<map<string,string>>, next string"
+_ARCHIVE = "results array<struct<md5:string,id:string,isbn:string,title:string,description:string,abstract:string,author:string,authors:string,year:string,doi:string,identifiers:struct<doi:string>>>, next string"
+
+
+def _text(c) -> Column:
+    return F.coalesce(trimmed(c), F.lit(""))
+
+
+def _first(*cs) -> Column:
+    """The first that is not blank."""
+    return F.coalesce(*[F.nullif(_text(c), F.lit("")) for c in cs])
+
+
+def access_papers(pages: DataFrame, prefix: str) -> DataFrame:
+    """Records of a full-text access service, flat mappings of varying keys; ``links`` are its addresses and the DOI's, once each.
+
+    Identifier: the record's own, its address, else the DOI or a digest under the prefix.
+    """
+    r = _items(pages, _ACCESS, "result")
+    of = lambda k: F.col("x")[k]
+    doi = _first(of("doi"))
+    digest = F.sha1(F.concat_ws("|", _text(of("title")), F.coalesce(doi, F.lit("None")), F.coalesce(of("year"), F.lit(""))))
+    year = F.regexp_extract(_first(of("year"), of("publication_year")), r"((?:18|19|20)[0-9]{2})", 1)
+    links = F.array_distinct(F.array_compact(F.array(*[_first(of(k)) for k in ("fullTextUrl", "fulltext", "pdfUrl", "pdf", "url")], F.concat(F.lit("https://doi.org/"), doi))))
+    return r.select(
+        F.coalesce(_first(of("identifier"), of("id"), of("url")), F.concat(F.lit(prefix + ":"), F.coalesce(doi, digest))).alias("identifier"),
+        _text(of("title")).alias("title"), F.coalesce(_first(of("abstract"), of("description")), F.lit("")).alias("abstract"),
+        split_authors(_first(of("authors"), of("author"))).alias("authors"), F.nullif(year, F.lit("")).cast("int").alias("year"), doi.alias("doi"),
+        F.filter(links, lambda u: u.startswith("http")).alias("links"),
+    )
+
+
+def archive_papers(pages: DataFrame, prefix: str) -> DataFrame:
+    """Records of a book and paper archive: digest, id or ISBN as identifier, the DOI also from the nested identifiers."""
+    x = F.col
+    doi = _first("x.doi", "x.identifiers.doi")
+    year = F.regexp_extract(F.coalesce("x.year", F.lit("")), r"((?:18|19|20)[0-9]{2})", 1)
+    key = F.coalesce(_first("x.md5", "x.id", "x.isbn"), doi, F.sha1(F.concat_ws("|", _text("x.title"), _text("x.year"))))
+    return _items(pages, _ARCHIVE, "results").select(
+        F.concat(F.lit(prefix + ":"), key).alias("identifier"), _text("x.title").alias("title"), F.coalesce(_first("x.description", "x.abstract"), F.lit("")).alias("abstract"),
+        split_authors(_first("x.authors", x("x.author"))).alias("authors"), F.nullif(year, F.lit("")).cast("int").alias("year"), doi.alias("doi"),
+    )
+
+
+def next_cursor(pages: DataFrame, schema: str = "next string") -> DataFrame:
+    """``next_cursor, exhausted`` of every page."""
+    nxt = F.nullif(trimmed(F.from_json("page", schema)["next"]), F.lit(""))
+    return pages.select(nxt.alias("next_cursor"), nxt.isNull().alias("exhausted"))
+
+
 def rxiv_papers(pages: DataFrame, query: str = "", categories: list[str] | None = None) -> DataFrame:
     """Preprints whose title, abstract, authors and category hold every term; an abstract 'na' is empty."""
     x = F.col

@@ -81,9 +81,20 @@ def json_lines(spark: SparkSession, path: str, schema: str, keep_broken: bool =
 def checkpoint(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A checkpoint that is one JSON array or JSON lines; the last row of an index wins.
 
-    The form is told from the first character of the file.
+    The form is told from the first character of the file. Rows of an array that have no index of
+    their own take their place in it; lines without one are left out.
     """
     head = spark.read.text(path, wholetext=False).limit(1).collect()
     array = bool(head) and head[0]["value"].lstrip().startswith("[")
-    rows = spark.read.schema(schema).option("multiLine", True).json(path) if array else json_lines(spark, path, schema)
-    return rows.where("index IS NOT NULL").dropDuplicates(["index"])
+    names = [c.name for c in spark.createDataFrame([], schema).schema]
+    own = [F.col(f"x.{c}").alias(c) for c in names if c != "index"]
+    if array:
+        whole = spark.read.text(path, wholetext=True).select(F.from_json("value", f"array<struct<{_fields(schema)}>>").alias("xs"))
+        each = whole.select(F.posexplode("xs").alias("_at", "x")).select("_at", F.coalesce(F.col("x.index"), F.col("_at")).alias("index"), *own)
+    else:
+        # the line with its place in the file, so that "last" has a meaning
+        lines = spark.read.text(path).withColumn("_at", F.monotonically_increasing_id())
+        each = lines.select("_at", F.from_json("value", schema).alias("x")).where("x.index IS NOT NULL").select("_at", F.col("x.index").alias("index"), *own)
+    rest = [c for c in names if c != "index"]
+    last = each.groupBy("index").agg(F.max_by(F.struct(*rest), "_at").alias("x"))
+    return last.select(*[F.col("index") if c == "index" else F.col(f"x.{c}").alias(c) for c in names])

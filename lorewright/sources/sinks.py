@@ -49,20 +49,26 @@ def evidence_json(answer: Column, confidence: Column, evidence: Column) -> Colum
     return F.to_json(F.struct(F.struct(answer.alias("answer"), confidence.alias("confidence"), evidence.alias("evidence")).alias("heuristic")))
 
 
-def progress_report(scores: DataFrame, deficits: DataFrame, metrics: DataFrame, top: int = 20) -> str:
-    """Markdown of the largest contributions, deficits and question metrics; the tables shown are limited to ``top`` rows."""
+def progress_report(scores: DataFrame, deficits: DataFrame, metrics: DataFrame, top: int | None = None) -> str:
+    """Markdown of the largest contributions, deficits and question metrics; with ``top``, the tables shown are limited to so many rows."""
+    some = lambda df: df if top is None else df.limit(top)
     lines = ["# Progress", "", "| theory | papers | contribution |", "|-|-|-|"]
-    lines += [f"| {r['theory']} | {r['n']} | {r['contribution']:.4f} |" for r in scores.orderBy(F.desc("contribution"), "theory").limit(top).collect()]
+    lines += [f"| {r['theory']} | {r['n']} | {r['contribution']:.4f} |" for r in some(scores.orderBy(F.desc("contribution"), "theory")).toLocalIterator()]
     lines += ["", "| theory | deficit |", "|-|-|"]
-    lines += [f"| {r['theory']} | {r['deficit']} |" for r in deficits.where("deficit > 0").orderBy(F.desc("deficit"), "theory").limit(top).collect()]
+    lines += [f"| {r['theory']} | {r['deficit']} |" for r in some(deficits.where("deficit > 0").orderBy(F.desc("deficit"), "theory")).toLocalIterator()]
     lines += ["", "| question | answered | blanks | yes |", "|-|-|-|-|"]
-    lines += [f"| {r['question_id']} | {r['answered']} | {r['blanks']} | {r['yes_count']} |" for r in metrics.orderBy("question_id").limit(top).collect()]
+    lines += [f"| {r['question_id']} | {r['answered']} | {r['blanks']} | {r['yes_count']} |" for r in some(metrics.orderBy("question_id")).toLocalIterator()]
     return "\n".join(lines) + "\n"
 
 
 def append_new(rows: DataFrame, seen: DataFrame, key: str) -> DataFrame:
-    """Rows for an append-only store: keys stored already are left out, the first of a key is kept."""
-    return rows.join(seen.select(key).distinct(), key, "left_anti").dropDuplicates([key])
+    """Rows for an append-only store: keys stored already are left out, the first of a key is kept.
+
+    First is by the column ``ordinal`` where there is one, then by the row's own values.
+    """
+    fresh = rows.join(seen.select(key).distinct(), key, "left_anti")
+    order = F.struct(*(["ordinal"] if "ordinal" in rows.columns else []), F.to_json(F.struct(*rows.columns)))
+    return fresh.groupBy(F.col(key).alias("_k")).agg(F.min_by(F.struct(*rows.columns), order).alias("r")).select("r.*")
 
 
 def content_key(payload: Column) -> Column:

@@ -90,3 +90,33 @@ def test_stream_resumes_and_drops_repeats(spark, tmp_path):
     make([2, 3]).write.mode("append").parquet(src)
     EV.run_available(EV.first_events(EV.read_events(spark, src)), out, ck)
     assert sorted(r["event_id"] for r in spark.read.parquet(out).collect()) == [1, 2, 3]
+
+
+def test_checkpoints_last_row_of_an_index_wins(spark, tmp_path):
+    lines = tmp_path / "c.jsonl"
+    lines.write_text('{"index": 0, "name": "a"}\n{"index": 1, "name": "b"}\n{"index": 0, "name": "z"}\n{"name": "lost"}\nbroken\n')
+    assert {r["index"]: r["name"] for r in readers.checkpoint(spark, str(lines), "index int, name string").collect()} == {0: "z", 1: "b"}
+    array = tmp_path / "c.json"
+    array.write_text('[{"name": "a"}, {"name": "b"},\n {"index": 0, "name": "z"}]')
+    assert {r["index"]: r["name"] for r in readers.checkpoint(spark, str(array), "index int, name string").collect()} == {0: "z", 1: "b"}
+
+
+def test_works_without_an_id_stay_apart_and_the_first_row_is_kept(spark):
+    one = {"results": [{"id": "https://openalex.org/W1", "title": "first"}, {"title": "x"}, {"title": "y"}]}
+    two = {"results": [{"id": "https://openalex.org/W1", "title": "second"}]}
+    pages = spark.createDataFrame([(2, json.dumps(two)), (1, json.dumps(one))], "number int, page string")
+    assert sorted(r["title"] for r in P.openalex_reviews(pages).collect()) == ["first", "x", "y"]
+
+
+def test_access_and_archive_pages(spark):
+    a = P.access_papers(page(spark, {"result": [{"title": " T ", "doi": "10.1/a", "authors": "A B; C", "year": "c. 2004", "pdf": "http://x/p.pdf", "url": ""}, {"title": "U", "author": "D|E"}]}), "acc").collect()
+    assert (a[0]["identifier"], a[0]["authors"], a[0]["year"], a[0]["links"]) == ("acc:10.1/a", ["A B", "C"], 2004, ["http://x/p.pdf", "https://doi.org/10.1/a"])
+    assert a[1]["identifier"].startswith("acc:") and len(a[1]["identifier"]) == 44 and a[1]["authors"] == ["D", "E"] and a[1]["links"] == []
+    b = P.archive_papers(page(spark, {"results": [{"isbn": "978", "title": "T", "identifiers": {"doi": "10.2/b"}, "year": "1999"}]}), "arc").collect()[0]
+    assert (b["identifier"], b["doi"], b["year"]) == ("arc:978", "10.2/b", 1999)
+    assert P.next_cursor(page(spark, {"next": " "})).collect()[0]["exhausted"]
+
+
+def test_first_of_a_key_is_kept(spark):
+    rows = spark.createDataFrame([("k", 2, "b"), ("k", 1, "a"), ("s", 1, "c")], "key string, ordinal int, v string")
+    assert [(r["key"], r["v"]) for r in sinks.append_new(rows, spark.createDataFrame([("s",)], "key string"), "key").collect()] == [("k", "a")]

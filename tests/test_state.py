@@ -77,3 +77,16 @@ def test_parents_are_found_within_each_tree(spark):
     good, bad = B.parents_by_name(nodes, wanted, ("tree",))
     assert {(r["tree"], r["child"], r["parent_id"]) for r in good.collect()} == {("o1", "x", "a"), ("o2", "y", "c")}
     assert [(r["tree"], r["child"]) for r in bad.collect()] == [("o2", "z")]
+
+
+def test_values_of_a_template_are_not_looked_into(spark):
+    q = spark.range(1).select(PL.fill_template(F.lit("{x}-{y}{z}"), {"x": F.lit("{y}"), "y": F.lit("v")}).alias("q")).collect()[0]["q"]
+    assert q == "{y}-v"
+
+
+def test_entities_of_any_kind(spark):
+    from lorewright.functions import text as T
+
+    rows = [("a&nbsp;&lt;b&gt;",), ("caf&eacute; &#8211; &#x3b1; &amp;lt;",), (None,), ("<p>x</p>&amp;",)]
+    got = [r["t"] for r in spark.createDataFrame(rows, "h string").select(T.strip_html("h").alias("t")).collect()]
+    assert got == ["a <b>", "café – α &lt;", None, "x\n&"]
