@@ -6,20 +6,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Keywords of a block; it bears on no result.
+BLOCK = 2000
+
+
 def keyword_scores(papers: DataFrame, id_col: str, text_col: str, keywords: DataFrame) -> DataFrame:
     """``<id>, theory, score``: matched over all keywords of each theory, where any matched.
 
     keywords: theory, keyword, one row per listed keyword (repeats count). Each text is
-    searched once per distinct keyword, not once per theory; the list of keywords is a
-    configuration and is inlined into the plan.
+    searched once per distinct keyword, not once per theory. The texts meet the keywords as blocks of at
+    most ``BLOCK`` on average, one row each, so the list never passes the driver and a text is copied per block only.
     """
-    words = sorted(r["keyword"] for r in keywords.select(F.lower("keyword").alias("keyword")).distinct().collect())
-    if not words:
-        raise ValueError("no keywords")
-    # the text is lowered in a step of its own, not once per keyword
+    listed = keywords.select(F.lower("keyword").alias("keyword")).where("keyword IS NOT NULL").distinct()
+    blocks = max(1, -(-listed.count() // BLOCK))
+    words = listed.groupBy(F.pmod(F.xxhash64("keyword"), F.lit(blocks)).alias("b")).agg(F.collect_list("keyword").alias("_words")).drop("b")
     low = papers.select(F.col(id_col), F.lower(F.col(text_col)).alias("_low"))
-    found = F.array_compact(F.array(*[F.when(F.contains("_low", F.lit(w)), F.lit(w)) for w in words]))
-    hits = low.select(F.col(id_col), F.explode(found).alias("keyword"))
+    hits = low.crossJoin(words).select(F.col(id_col), F.explode(F.filter("_words", lambda w: F.contains(F.col("_low"), w))).alias("keyword"))
     listed = keywords.select("theory", F.lower("keyword").alias("keyword")).groupBy("theory", "keyword").agg(F.count("*").alias("times"))
     sizes = keywords.groupBy("theory").agg(F.count("*").alias("size"))
     return (

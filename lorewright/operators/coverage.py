@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lorewright.operators.ranking import spread_rank
+
 
 def coverage(counts: DataFrame) -> DataFrame:
     """Adds ``deficit`` (NULL without a target) and ``met``. counts: theory, n, target."""
@@ -38,8 +40,7 @@ def sibling_imbalance(nodes: DataFrame) -> DataFrame:
     """
     load = nodes.withColumn("load", F.when(F.col("target") > 0, F.col("n") / F.col("target")).otherwise(F.col("n").cast("double")))
     fam = load.groupBy("parent").agg(F.stddev_pop("load").alias("sd"), F.count("*").alias("k")).where("k > 1")
-    at = F.row_number().over(Window.partitionBy("parent").orderBy("load", "theory")) - 1
-    ranked = load.withColumn("at", at).join(fam, "parent")
+    ranked = spread_rank(load, ["parent"], ["load", "theory"], "at").join(fam, "parent")
     # the median of the others hangs on at most four places around the middle, whatever the size of the family
     m = F.col("k") - 1
     lo, hi = F.floor((m - 1) / 2), F.floor(m / 2)
@@ -69,5 +70,4 @@ def subtheory_quota(children: DataFrame) -> DataFrame:
 def queue_positions(nodes: DataFrame) -> DataFrame:
     """Order of work under each parent: least filled first, then name."""
     fill = F.when(F.col("target") > 0, F.col("n") / F.col("target")).otherwise(F.lit(0.0))
-    w = Window.partitionBy("parent").orderBy("fill", "theory")
-    return nodes.withColumn("fill", fill).withColumn("place", F.row_number().over(w))
+    return spread_rank(nodes.withColumn("fill", fill), ["parent"], ["fill", "theory"], "place").withColumn("place", (F.col("place") + 1).cast("int"))

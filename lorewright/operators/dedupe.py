@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lorewright.operators.components import connected_components
+from lorewright.operators.ranking import spread_rank
 
 
 def first_per_key(rows: DataFrame, key: list[str], order: list) -> DataFrame:
@@ -38,8 +39,7 @@ def merge_records(rows: DataFrame, group: str, order: str, scalars: list[str], l
 
 def numbered_slugs(rows: DataFrame, slug: str, order: list) -> DataFrame:
     """Repeats of a slug get the free numbers ``-2``, ``-3`` on in order; numbers that explicit slugs bear are passed over."""
-    w = Window.partitionBy(slug).orderBy(*order)
-    numbered = rows.withColumn("_r", F.row_number().over(w))
+    numbered = spread_rank(rows, [slug], order, "_place").withColumn("_nth", (F.col("_place") + 1).cast("int"))
     suffix = F.regexp_extract(slug, r"^(.+)-([0-9]{1,9})$", 2)
     borne = (
         rows.where(suffix != "")
@@ -47,13 +47,13 @@ def numbered_slugs(rows: DataFrame, slug: str, order: list) -> DataFrame:
         .groupBy(slug)
         .agg(F.collect_set("n").alias("borne"))
     )
-    r, borne_ = F.col("_r"), F.coalesce("borne", F.array().cast("array<int>"))
+    r, borne_ = F.col("_nth"), F.coalesce("borne", F.array().cast("array<int>"))
     free = F.filter(F.sequence(F.lit(2), r + F.size(borne_) + 1), lambda x: ~F.array_contains(borne_, x))
     number = F.get(free, r - 2)
     return (
         numbered.join(borne, slug, "left")
         .withColumn("slug_id", F.when(r == 1, F.col(slug)).otherwise(F.concat_ws("-", slug, number.cast("string"))))
-        .drop("_r", "borne")
+        .drop("_place", "_nth", "borne")
     )
 
 

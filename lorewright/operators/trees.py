@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lorewright.operators.ranking import spread_rank
+
 
 def node_counts(links: DataFrame) -> DataFrame:
     """Per tree the nodes and the leaves; links: tree, node, parent."""
@@ -39,9 +41,9 @@ def balance_children(children: DataFrame, most: int) -> DataFrame:
     children: parent, node, weight. They are dealt in order of falling weight, then
     lower-case name. A group of one stays itself; others are named Other, Other 2 and so on.
     """
-    size = F.count("*").over(Window.partitionBy("parent"))
-    place = F.row_number().over(Window.partitionBy("parent").orderBy(F.desc("weight"), F.lower("node"), "node")) - 1
-    dealt = children.withColumn("size", size).withColumn("place", place)
+    size = children.groupBy(F.col("parent").alias("_p")).agg(F.count("*").alias("size"))
+    ranked = spread_rank(children, ["parent"], [F.desc("weight"), F.lower("node"), "node"], "place")
+    dealt = ranked.join(size, F.col("parent").eqNullSafe(F.col("_p"))).drop("_p")
     slot = F.when(F.col("size") > most, F.pmod(F.col("place"), F.lit(most))).otherwise(F.col("place"))
     dealt = dealt.withColumn("slot", slot)
     many = F.when(F.col("size") > most, F.ceil((F.col("size") - F.col("slot")) / most)).otherwise(1)
@@ -60,9 +62,8 @@ def split_oversized(items: DataFrame, most: int, target: int, least: int) -> Dat
     chunks are numbered from 1. Owners within the limit keep chunk 1.
     """
     size = min(most, max(target, least))
-    n = F.count("*").over(Window.partitionBy("owner"))
-    at = F.row_number().over(Window.partitionBy("owner").orderBy("pos", "item")) - 1
-    placed = items.withColumn("n", n).withColumn("at", at)
+    n = items.groupBy(F.col("owner").alias("_o")).agg(F.count("*").alias("n"))
+    placed = spread_rank(items, ["owner"], ["pos", "item"], "at").join(n, F.col("owner").eqNullSafe(F.col("_o")))
     raw = F.floor(F.col("at") / size)
     last = F.floor((F.col("n") - 1) / size)
     tail = F.col("n") - last * size
@@ -72,9 +73,8 @@ def split_oversized(items: DataFrame, most: int, target: int, least: int) -> Dat
 
 def limit_group(items: DataFrame, most: int) -> DataFrame:
     """Overflow of a group goes to subgroups ``name (auto-split k)`` from k = 2; items: owner, item, pos."""
-    at = F.row_number().over(Window.partitionBy("owner").orderBy("pos", "item"))
-    k = F.ceil(at / most).cast("int")
-    return items.withColumn("k", k).select(
+    k = F.ceil((F.col("at") + 1) / most).cast("int")
+    return spread_rank(items, ["owner"], ["pos", "item"], "at").withColumn("k", k).select(
         "item", F.when(F.col("k") == 1, F.col("owner")).otherwise(F.concat(F.col("owner"), F.lit(" (auto-split "), F.col("k").cast("string"), F.lit(")"))).alias("owner")
     )
 

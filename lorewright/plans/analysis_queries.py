@@ -11,6 +11,7 @@ from lorewright.operators import dedupe as D
 from lorewright.operators import expansion as E
 from lorewright.operators import hierarchy as H
 from lorewright.operators import questions as Q
+from lorewright.operators import ranking as RK
 from lorewright.operators import relevance as R
 from lorewright.operators import trees as TR
 from lorewright.operators import validate as VA
@@ -100,14 +101,9 @@ def flt_review_selection(spark, sf):
 CASE WHEN is_review THEN 0 WHEN NOT is_review THEN 1 ELSE 2 END, coalesce(citation_count, -1) DESC, lower(coalesce(title, '')), lower(identifier)) AS rank FROM papers)""",
 )
 def srt_retrieval_order(spark, sf):
-    from pyspark.sql import Window
-
-    rank = F.row_number().over(
-        Window.partitionBy("source_").orderBy(
-            F.when(F.col("is_review"), 0).when(~F.col("is_review"), 1).otherwise(2), F.coalesce("citation_count", F.lit(-1)).desc(), F.lower(F.coalesce("title", F.lit(""))), F.lower("identifier")
-        )
-    )
-    return table(spark, sf, "papers").withColumn("source_", F.lower(F.trim("source"))).select("source_", "identifier", rank.alias("rank"))
+    order = [F.when(F.col("is_review"), 0).when(~F.col("is_review"), 1).otherwise(2), F.coalesce("citation_count", F.lit(-1)).desc(), F.lower(F.coalesce("title", F.lit(""))), F.lower("identifier")]
+    rows = table(spark, sf, "papers").select(F.lower(F.trim("source")).alias("source_"), "identifier", "title", "is_review", "citation_count")
+    return RK.spread_rank(rows, ["source_"], order).select("source_", "identifier", (F.col("rank") + 1).cast("int").alias("rank"))
 
 
 # classification
