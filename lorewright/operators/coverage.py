@@ -22,6 +22,12 @@ def depth_deficits(covered: DataFrame) -> DataFrame:
     )
 
 
+def coverage_line(name: str, depth: str, n, target):
+    """One line of the coverage report: the node, indented by its depth, found over wanted, and what is missing."""
+    missing = F.when(target > n, F.concat(F.lit(" (short by "), (target - n).cast("string"), F.lit(")"))).otherwise("")
+    return F.concat(F.repeat(F.lit("  "), F.col(depth).cast("int")), F.col(name), F.lit(": "), n.cast("string"), F.lit("/"), target.cast("string"), missing)
+
+
 def log_score(counts: DataFrame) -> DataFrame:
     """Contribution log10(n) of each theory with n > 0 and its share of the total."""
     each = counts.where("n > 0").withColumn("contribution", F.log10("n"))

@@ -88,14 +88,16 @@ def similar_names(names: DataFrame, ratio: float, block: int = BLOCK) -> DataFra
     return blocks.groupBy("gx", "gy").applyInPandas(run, f"a {kind}, b {kind}")
 
 
-def build_registry(mentions: DataFrame, ratio: float = 0.9) -> DataFrame:
-    """``label, canonical, theory_id, mentions``; mentions: label, ordinal."""
+def build_registry(mentions: DataFrame, ratio: float | None = 0.9) -> DataFrame:
+    """``label, canonical, theory_id, mentions``; mentions: label, ordinal. Without ``ratio`` no similar names are looked for."""
     named = mentions.withColumn("label", clean_label("label")).where("label <> ''")
     once = named.groupBy("label").agg(F.min("ordinal").alias("ordinal"), F.count("*").alias("mentions"))
     words = F.filter(F.split(F.lower("label"), "[^a-z0-9]+"), lambda w: w != "")
     entry = cut(once.withColumn("sig", F.coalesce(F.nullif(F.array_join(F.array_sort(words), " "), F.lit("")), F.lower("label"))))
     # one name per signature goes on: the earliest
     heads = cut(entry.groupBy("sig").agg(F.min(F.struct("ordinal", "label")).alias("h")).select("sig", F.col("h.ordinal").alias("ordinal"), F.col("h.label").alias("label")))
+    if ratio is None:
+        return entry.join(heads.select("sig", F.col("label").alias("canonical")), "sig").select("label", "canonical", slug("canonical").alias("theory_id"), "mentions")
     linked = similar_names(heads, ratio)
     merged = connected_components(linked.select("a", "b"))
     named_heads = heads.select(F.col("ordinal").alias("component"), F.col("label").alias("canonical"))
@@ -108,6 +110,28 @@ def build_registry(mentions: DataFrame, ratio: float = 0.9) -> DataFrame:
     return entry.join(final, "sig").select("label", "canonical", slug("canonical").alias("theory_id"), "mentions")
 
 
+def registry_tables(mentions: DataFrame, ratio: float | None = 0.9) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(entries, supports, synonyms) of a registry; mentions: label, ordinal, article.
+
+    entries: ``theory_id, label, slug, article`` (that of its first mention)`, aliases, articles`` (how many). supports: one
+    row per entry and article. synonyms: one row per other spelling and article, ``alias, theory_id, slug, article``.
+    Rows in place of lists, so an entry that very many articles support stays spread out.
+    """
+    named = mentions.withColumn("label", clean_label("label")).where("label <> ''")
+    built = cut(named.join(build_registry(mentions, ratio).select("label", "canonical"), "label").select("label", "canonical", "ordinal", "article"))
+    first = built.groupBy("canonical").agg(
+        F.min_by("article", "ordinal").alias("first"), F.count_distinct("label").alias("aliases"), F.count_distinct("article").alias("articles")
+    )
+    key = F.concat(slug("canonical"), F.lit("__"), slug(F.coalesce("first", F.lit("")), "article"))
+    ids = cut(first.withColumn("theory_id", key))
+    entries = ids.select("theory_id", F.col("canonical").alias("label"), slug("canonical").alias("slug"), F.col("first").alias("article"), "aliases", "articles")
+    each = built.join(ids.select("canonical", "theory_id"), "canonical")
+    supports = each.where("article IS NOT NULL").select("theory_id", "article").distinct()
+    other = each.where((F.lower("label") != F.lower("canonical")) & F.col("article").isNotNull())
+    synonyms = other.select(F.col("label").alias("alias"), "theory_id", slug("label").alias("slug"), "article").distinct()
+    return entries, supports, synonyms
+
+
 def overlapping_windows(text: str, size: int, overlap: int) -> list[str]:
     """Windows of ``size`` characters that back off to the last blank; each next one begins ``overlap`` before the end."""
     out, start = [], 0

@@ -103,6 +103,42 @@ def reconcile(placed: DataFrame, registry: DataFrame, fallback: str = "Unassigne
     return judged.unionByName(rest)
 
 
+def refilled(judged: DataFrame, articles: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(placements with their articles from the registry, groups left empty).
+
+    judged: as ``reconcile`` gives it; articles: theory_id, article; groups: grp. A placement that was dropped bears
+    no article, one that was kept or added has one row for each article and one without if there is none.
+    """
+    good = judged.where("reason IN ('kept', 'added')").select("grp", "theory_id")
+    full = good.join(articles.where("article IS NOT NULL").select("theory_id", "article").distinct(), "theory_id", "left").select("grp", "theory_id", "article")
+    return full, groups.select("grp").distinct().join(good.select("grp").distinct(), "grp", "left_anti")
+
+
+def merge_parents(nodes: DataFrame, merges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(nodes with new parents, audit of merges that could not be done).
+
+    nodes: tree, name, parent; merges: tree, parent, child, ordinal. Names match without case and outer blanks.
+    A parent that is not there is made, a root; of several merges of one child the first wins and the rest are
+    ``repeated``; an unknown child is ``unresolved``, a node as its own parent ``itself``.
+    """
+    key = lambda c: F.lower(F.trim(c))
+    own = nodes.select("tree", key("name").alias("k"), "name", "parent").groupBy("tree", "k").agg(F.min(F.struct("name", "parent")).alias("n")).select("tree", "k", "n.*")
+    asked = merges.select("tree", "parent", "child", "ordinal", key("parent").alias("pk"), key("child").alias("ck")).where("pk <> '' AND ck <> ''")
+    known = own.select("tree", F.col("k").alias("ck"), F.lit(True).alias("known"))
+    first = asked.groupBy("tree", "ck").agg(F.min(F.struct("ordinal", "pk")).alias("f"))
+    judged = asked.join(known, ["tree", "ck"], "left").join(first, ["tree", "ck"]).withColumn(
+        "issue",
+        F.when(F.col("known").isNull(), "unresolved").when(F.col("pk") == F.col("ck"), "itself").when(F.struct("ordinal", "pk") != F.col("f"), "repeated"),
+    )
+    done = judged.where("issue IS NULL").groupBy("tree", "ck").agg(F.min(F.struct("pk", "parent")).alias("m")).select("tree", "ck", "m.*")
+    made = done.join(own.select("tree", F.col("k").alias("pk")), ["tree", "pk"], "left_anti").groupBy("tree", "pk").agg(F.min(F.trim("parent")).alias("name"))
+    names = own.select("tree", F.col("k").alias("pk"), F.col("name").alias("new_parent")).unionByName(made.select("tree", "pk", F.col("name").alias("new_parent")))
+    moved = done.join(names, ["tree", "pk"]).select("tree", F.col("ck").alias("k"), "new_parent")
+    kept = own.join(moved, ["tree", "k"], "left").select("tree", "name", F.coalesce("new_parent", "parent").alias("parent"))
+    audit = judged.where("issue IS NOT NULL").select("tree", "child", "parent", "issue").distinct()
+    return kept.unionByName(made.select("tree", "name", F.lit(None).cast("string").alias("parent"))), audit
+
+
 def membership_changes(canonical: DataFrame, proposed: DataFrame) -> DataFrame:
     """``owner, item, change``: added where only the registry has the pair, removed where only the proposal has it."""
     a = canonical.select("owner", "item").distinct().withColumn("a", F.lit(True))

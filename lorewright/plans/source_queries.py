@@ -6,7 +6,11 @@ from pyspark.sql import functions as F
 
 from lorewright.functions import text as T
 from lorewright.operators import bootstrap as BS
+from lorewright.operators import coverage as V
+from lorewright.operators import expansion as E
 from lorewright.operators import hierarchy as H
+from lorewright.operators import registry as RG
+from lorewright.operators import trees as TR
 from lorewright.plans.hierarchy_queries import _BASE
 from lorewright.plans.text_queries import _DOI, t
 from lorewright.session import table
@@ -329,3 +333,124 @@ def tree_event_places(spark, sf):
     """Places of a word as events, the first and how many."""
     texts = table(spark, sf, "papers").where("full_text IS NOT NULL").select("identifier", F.col("full_text").alias("text"))
     return BS.events(texts, "lifespan").groupBy("identifier").agg(F.min("at").alias("first_at"), F.count("*").alias("n"))
+
+
+_CLEAN = r"regexp_replace(regexp_replace(label, '\s+', ' ', 'g'), '[ \-:,.;]+$', '')"
+_REG = f"""WITH m AS (SELECT {_CLEAN} AS label, mention_id AS ordinal, paper_id AS article FROM theory_mentions WHERE {_CLEAN} <> ''),
+o AS (SELECT label, min(ordinal) AS ordinal, coalesce(nullif(array_to_string(list_sort(list_filter(regexp_split_to_array(lower(label), '[^a-z0-9]+'), lambda w: w <> '')), ' '), ''), lower(label)) AS sig FROM m GROUP BY label),
+h AS (SELECT sig, arg_min(label, (ordinal, label)) AS canonical FROM o GROUP BY sig), b AS (SELECT m.label, h.canonical, m.ordinal, m.article FROM m JOIN o USING (label) JOIN h ON h.sig = o.sig),
+f AS (SELECT canonical, arg_min_null(article, ordinal) AS first, count(DISTINCT label) AS aliases, count(DISTINCT article) AS articles FROM b GROUP BY canonical),
+i AS (SELECT *, coalesce(nullif(trim(regexp_replace(lower(canonical), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'theory') AS slug,
+  coalesce(nullif(trim(regexp_replace(lower(coalesce(first, '')), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'article') AS at_ FROM f), t AS (SELECT *, slug || '__' || at_ AS theory_id FROM i)"""
+
+
+def _registry(spark, sf):
+    return RG.registry_tables(table(spark, sf, "theory_mentions").select("label", F.col("mention_id").alias("ordinal"), F.col("paper_id").alias("article")), None)
+
+
+@query("agg_registry_entries", f"{_REG} SELECT theory_id, canonical AS label, slug, first AS article, aliases, articles FROM t")
+def agg_registry_entries(spark, sf):
+    """Registry of the mentions by equal words: one row an entry, with what it rests on."""
+    return _registry(spark, sf)[0]
+
+
+@query("agg_registry_supports", f"{_REG} SELECT DISTINCT theory_id, article FROM b JOIN t USING (canonical) WHERE article IS NOT NULL")
+def agg_registry_supports(spark, sf):
+    return _registry(spark, sf)[1]
+
+
+@query(
+    "agg_registry_synonyms",
+    f"""{_REG} SELECT DISTINCT label AS alias, theory_id, coalesce(nullif(trim(regexp_replace(lower(label), '[^a-z0-9]+', '-', 'g'), '-'), ''), 'theory') AS slug, article
+FROM b JOIN t USING (canonical) WHERE article IS NOT NULL AND lower(label) <> lower(canonical)""",
+)
+def agg_registry_synonyms(spark, sf):
+    return _registry(spark, sf)[2]
+
+
+_STOP = "[" + ", ".join(f"'{w}'" for w in E.ENGLISH) + "]"
+
+
+@query(
+    "agg_tfidf_bigrams",
+    f"""WITH d AS (SELECT lower(trim(source)) AS src, identifier, list_filter(regexp_extract_all(lower(title), '[a-z0-9]{{2,}}'), lambda w: NOT list_contains({_STOP}, w)) AS ws FROM papers WHERE source IS NOT NULL),
+e AS (SELECT src, identifier, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) AS term FROM d),
+tf AS (SELECT src, identifier, term, count(*) AS tf FROM e GROUP BY 1, 2, 3),
+n AS (SELECT src, count(DISTINCT identifier) AS n FROM tf GROUP BY 1), df AS (SELECT src, term, count(*) AS df FROM tf GROUP BY 1, 2),
+w AS (SELECT tf.src, identifier, tf.term, tf * (ln((1 + n) / (1 + df)) + 1) AS w FROM tf JOIN n USING (src) JOIN df ON df.src = tf.src AND df.term = tf.term),
+nm AS (SELECT src, identifier, sqrt(sum(w * w)) AS nm FROM w GROUP BY 1, 2),
+s AS (SELECT w.src, term, round(sum(w / nm), 6) AS weight FROM w JOIN nm ON nm.src = w.src AND nm.identifier = w.identifier GROUP BY 1, 2)
+SELECT src, term, round(weight, 3) AS weight FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY weight DESC, term) AS r FROM s) WHERE r <= 5""",
+)
+def agg_tfidf_bigrams(spark, sf):
+    """Five words or pairs of words per source, stop words out: a top-k report."""
+    p = table(spark, sf, "papers").where("source IS NOT NULL").withColumn("src", F.lower(F.trim("source")))
+    return E.tfidf_terms(p, "src", "identifier", "title", E.ENGLISH, 5, 2).select("src", "term", F.round("weight", 3).alias("weight"))
+
+
+_MERGES = """mg AS (SELECT ontology_id AS tree, CASE WHEN ordinal % 3 = 0 THEN ' Group ' || CAST(ordinal % 2 AS VARCHAR) ELSE coalesce(parent, name) END AS parent, CASE WHEN ordinal % 11 = 0 THEN name || ' gone' ELSE name END AS child, ordinal
+  FROM ontology_nodes WHERE ordinal % 5 = 0),
+own AS (SELECT ontology_id AS tree, lower(trim(name, ' ')) AS k, min((name, parent)) AS np FROM ontology_nodes GROUP BY 1, 2),
+ow AS (SELECT tree, k, np[1] AS name, np[2] AS parent FROM own),
+ask AS (SELECT *, lower(trim(parent, ' ')) AS pk, lower(trim(child, ' ')) AS ck FROM mg WHERE lower(trim(parent, ' ')) <> '' AND lower(trim(child, ' ')) <> ''),
+fi AS (SELECT tree, ck, min((ordinal, pk)) AS f FROM ask GROUP BY 1, 2),
+ju AS (SELECT ask.*, CASE WHEN ow.k IS NULL THEN 'unresolved' WHEN pk = ask.ck THEN 'itself' WHEN (ordinal, pk) <> f THEN 'repeated' END AS issue FROM ask JOIN fi ON fi.tree = ask.tree AND fi.ck = ask.ck LEFT JOIN ow ON ow.tree = ask.tree AND ow.k = ask.ck),
+dn AS (SELECT tree, ck, min((pk, parent)) AS m FROM ju WHERE issue IS NULL GROUP BY 1, 2), do_ AS (SELECT tree, ck, m[1] AS pk, m[2] AS parent FROM dn),
+mk AS (SELECT tree, pk, min(trim(parent, ' ')) AS name FROM do_ WHERE NOT EXISTS (SELECT 1 FROM ow WHERE ow.tree = do_.tree AND ow.k = do_.pk) GROUP BY 1, 2),
+nm AS (SELECT tree, k AS pk, name FROM ow UNION ALL SELECT tree, pk, name FROM mk), mv AS (SELECT do_.tree, do_.ck AS k, nm.name AS np FROM do_ JOIN nm ON nm.tree = do_.tree AND nm.pk = do_.pk)"""
+
+
+def _parents(spark, sf):
+    o = table(spark, sf, "ontology_nodes")
+    group = F.concat(F.lit(" Group "), (F.col("ordinal") % 2).cast("string"))
+    merges = o.where("ordinal % 5 = 0").select(
+        F.col("ontology_id").alias("tree"), F.when(F.col("ordinal") % 3 == 0, group).otherwise(F.coalesce("parent", "name")).alias("parent"),
+        F.when(F.col("ordinal") % 11 == 0, F.concat("name", F.lit(" gone"))).otherwise(F.col("name")).alias("child"), "ordinal",
+    )
+    return TR.merge_parents(o.select(F.col("ontology_id").alias("tree"), "name", "parent"), merges)
+
+
+@query("tree_merge_parents", f"WITH {_MERGES} SELECT ow.tree, ow.name, coalesce(mv.np, ow.parent) AS parent FROM ow LEFT JOIN mv ON mv.tree = ow.tree AND mv.k = ow.k UNION ALL SELECT tree, name, NULL FROM mk")
+def tree_merge_parents(spark, sf):
+    """Every fifth node under another parent, which is made where it is not there."""
+    return _parents(spark, sf)[0]
+
+
+@query("tree_merge_audit", f"WITH {_MERGES} SELECT DISTINCT tree, child, parent, issue FROM ju WHERE issue IS NOT NULL")
+def tree_merge_audit(spark, sf):
+    return _parents(spark, sf)[1]
+
+
+_JUDGED = """pl AS (SELECT label AS grp, CASE WHEN mention_id % 5 = 0 THEN 'none' ELSE theory_id END AS theory_id, mention_id AS ordinal FROM theory_mentions m JOIN aging_ontology USING (label) WHERE label IS NOT NULL),
+gr AS (SELECT DISTINCT grp FROM pl), kn AS (SELECT DISTINCT theory_id FROM aging_ontology),
+rk AS (SELECT *, row_number() OVER (PARTITION BY theory_id ORDER BY ordinal, grp) AS r FROM (SELECT DISTINCT * FROM pl)),
+gd AS (SELECT DISTINCT grp, theory_id FROM rk JOIN kn USING (theory_id) WHERE r = 1 UNION ALL SELECT 'Unassigned', theory_id FROM kn WHERE theory_id NOT IN (SELECT theory_id FROM pl)),
+ar AS (SELECT DISTINCT theory_id, paper_id AS article FROM theory_mentions JOIN aging_ontology USING (label) WHERE paper_id IS NOT NULL)"""
+
+
+def _refilled(spark, sf):
+    o, m = table(spark, sf, "aging_ontology"), table(spark, sf, "theory_mentions")
+    j = m.join(o.select("theory_id", "label"), "label")
+    placed = j.select(F.col("label").alias("grp"), F.when(F.col("mention_id") % 5 == 0, "none").otherwise(F.col("theory_id")).alias("theory_id"), F.col("mention_id").alias("ordinal")).distinct()
+    return TR.refilled(TR.reconcile(placed, o), j.select("theory_id", F.col("paper_id").alias("article")), placed)
+
+
+@query("tree_refilled", f"WITH {_JUDGED} SELECT gd.grp, gd.theory_id, count(ar.article) AS articles FROM gd LEFT JOIN ar ON ar.theory_id = gd.theory_id GROUP BY 1, 2")
+def tree_refilled(spark, sf):
+    """Placements checked against the registry, with the articles the registry has for them."""
+    return _refilled(spark, sf)[0].groupBy("grp", "theory_id").agg(F.count("article").alias("articles"))
+
+
+@query("tree_pruned", f"WITH {_JUDGED} SELECT grp FROM gr WHERE grp NOT IN (SELECT grp FROM gd)")
+def tree_pruned(spark, sf):
+    """Groups that lost all their theories."""
+    return _refilled(spark, sf)[1]
+
+
+@query("tree_coverage_lines", "SELECT ontology_id, name, repeat('  ', depth) || name || ': ' || CAST(depth AS VARCHAR) || '/' || CAST(coalesce(target, 0) AS VARCHAR) || CASE WHEN coalesce(target, 0) > depth THEN ' (short by ' || CAST(target - depth AS VARCHAR) || ')' ELSE '' END AS line FROM (" + _BASE + " SELECT k.ontology_id, k.name, k.depth, o.target FROM kinds k JOIN (SELECT ontology_id, name, max(target) AS target FROM ontology_nodes GROUP BY 1, 2) o ON o.ontology_id = k.ontology_id AND o.name = k.name WHERE k.depth IS NOT NULL)")
+def tree_coverage_lines(spark, sf):
+    """The coverage report as lines, one a node, indented by depth; the depth stands in for the papers found."""
+    o = table(spark, sf, "ontology_nodes")
+    own = o.groupBy("ontology_id", "name").agg(F.max("target").alias("target"))
+    r = H.resolve_hierarchy(o).where("depth IS NOT NULL").join(own, ["ontology_id", "name"])
+    return r.select("ontology_id", "name", V.coverage_line("name", "depth", F.col("depth"), F.coalesce("target", F.lit(0))).alias("line"))

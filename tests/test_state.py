@@ -90,3 +90,43 @@ def test_entities_of_any_kind(spark):
     rows = [("a&nbsp;&lt;b&gt;",), ("caf&eacute; &#8211; &#x3b1; &amp;lt;",), (None,), ("<p>x</p>&amp;",)]
     got = [r["t"] for r in spark.createDataFrame(rows, "h string").select(T.strip_html("h").alias("t")).collect()]
     assert got == ["a <b>", "café – α &lt;", None, "x\n&"]
+
+
+def test_registry_golden(spark):
+    from lorewright.operators import registry as RG
+
+    rows = [("Disposable soma theory", 1, "a"), ("Disposable soma hypothesis", 2, "b"), ("Disposable soma hypothesis", 3, "c"), ("theory, disposable Soma", 4, "a"), (None, 5, "z"), (" ", 6, "z")]
+    entries, supports, synonyms = RG.registry_tables(spark.createDataFrame(rows, "label string, ordinal int, article string"), 0.75)
+    e = entries.collect()
+    assert [(r["theory_id"], r["label"], r["aliases"], r["articles"]) for r in e] == [("disposable-soma-theory__a", "Disposable soma theory", 3, 3)]
+    assert sorted(r["article"] for r in supports.collect()) == ["a", "b", "c"]
+    got = sorted((r["alias"], r["theory_id"], r["slug"], r["article"]) for r in synonyms.collect())
+    assert got == [("Disposable soma hypothesis", e[0]["theory_id"], "disposable-soma-hypothesis", "b"), ("Disposable soma hypothesis", e[0]["theory_id"], "disposable-soma-hypothesis", "c"), ("theory, disposable Soma", e[0]["theory_id"], "theory-disposable-soma", "a")]
+
+
+def test_parents_are_made_and_bad_merges_audited(spark):
+    from lorewright.operators import trees as TR
+
+    nodes = spark.createDataFrame([("o", "Root", None), ("o", "A", "Root"), ("o", "B", "Root")], "tree string, name string, parent string")
+    merges = spark.createDataFrame([("o", "New", "a", 1), ("o", "Root", "A ", 2), ("o", "b", "B", 3), ("o", "New", "gone", 4), ("o", None, "A", 0)], "tree string, parent string, child string, ordinal int")
+    kept, audit = TR.merge_parents(nodes, merges)
+    assert sorted((r["name"], r["parent"]) for r in kept.collect() if r["parent"]) == [("A", "New"), ("B", "Root")]
+    assert {(r["child"], r["issue"]) for r in audit.collect()} == {("A ", "repeated"), ("B", "itself"), ("gone", "unresolved")}
+
+
+def test_words_and_runs_of_words(spark):
+    from lorewright.operators import expansion as E
+
+    rows = spark.createDataFrame([(["a", "b", "c"],), (["a"],), ([],)], "ws array<string>").select(E.ngrams(F.col("ws"), 3).alias("t")).collect()
+    assert [r["t"] for r in rows] == [["a", "b", "c", "a b", "b c", "a b c"], ["a"], []]
+
+
+def test_ranks_of_a_hot_group_and_of_nulls(spark):
+    from lorewright.operators.ranking import spread_rank
+
+    df = spark.range(2000).select(F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 2 == 0, "cold").alias("g"), ((F.col("id") * 7919) % 2000).alias("v"))
+    rows = spread_rank(df, ["g"], [F.desc("v")]).collect()
+    assert len(rows) == 2000
+    for g in ("hot", "cold", None):
+        mine = sorted((r["rank"], r["v"]) for r in rows if r["g"] == g)
+        assert [k for k, _ in mine] == list(range(len(mine))) and [v for _, v in mine] == sorted((v for _, v in mine), reverse=True)
