@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lorewright.operators import registry as RG
 from lorewright.session import table
+from lorewright.streaming import events as EV
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -54,6 +55,41 @@ def inc_shard_status(spark, sf):
     return table(spark, sf, "events").groupBy("user_id").agg(F.max_by("event_type", F.struct("ts", "event_id")).alias("status"))
 
 
+def _stream(spark, sf):
+    """The events table as a stream of its files."""
+    kinds = table(spark, sf, "events").schema
+    # a pattern, as a stream takes a file by name only so
+    rows = spark.readStream.schema(kinds).parquet(f"{sf}/event[s].parquet")
+    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query("str_stream_hourly", SQL["str_hourly"])
+def str_stream_hourly(spark, sf):
+    """Windows of a real stream, run over all that is there."""
+    got = EV.drained(EV.hourly(_stream(spark, sf)))
+    return got.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "events", F.round("total", 4).alias("total"))
+
+
+@query("str_stream_sessions", SQL["str_sessions"])
+def str_stream_sessions(spark, sf):
+    got = EV.drained(EV.sessions(_stream(spark, sf)))
+    return got.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "events")
+
+
+@query("str_stream_first", "SELECT DISTINCT event_id FROM events")
+def str_stream_first(spark, sf):
+    """Each event once, as it comes."""
+    return EV.drained(EV.first_events(_stream(spark, sf)), "append").select("event_id")
+
+
+@query("str_stream_totals", "SELECT event_type, count(*) AS events, round(sum(value), 2) AS total FROM events GROUP BY 1")
+def str_stream_totals(spark, sf):
+    """Running totals of custom state; the last row of each type."""
+    got = EV.drained(EV.running_totals(_stream(spark, sf)), "update")
+    last = got.groupBy("event_type").agg(F.max_by(F.struct("events", "total"), "batch").alias("x"))
+    return last.select("event_type", "x.events", F.round("x.total", 2).alias("total"))
+
+
 @query("agg_registry_fold")
 def agg_registry_fold(spark, sf):
     """Names of the mentions folded into a registry in order of appearance."""

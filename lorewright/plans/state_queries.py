@@ -179,21 +179,6 @@ def agg_verification_summary(spark, sf):
     return B.verification_summary(r).withColumn("mean_nodes", F.round("mean_nodes", 6))
 
 
-@query(
-    "tree_attach_parents",
-    """WITH n AS (SELECT DISTINCT lower(trim(name)) AS k FROM ontology_nodes WHERE ontology_id = (SELECT min(ontology_id) FROM ontology_nodes))
-SELECT DISTINCT parent AS wanted, k IS NOT NULL AS found FROM ontology_nodes LEFT JOIN n ON n.k = lower(trim(parent)) WHERE parent IS NOT NULL""",
-)
-def tree_attach_parents(spark, sf):
-    """Parents wanted by all ontologies, resolved against the nodes of the first one."""
-    n = table(spark, sf, "ontology_nodes")
-    first = n.agg(F.min("ontology_id").alias("ontology_id"))
-    nodes = n.join(F.broadcast(first), "ontology_id").select(F.col("name").alias("id"), "name", "ordinal")
-    wanted = n.where("parent IS NOT NULL").select(F.col("parent").alias("child"), "parent").distinct()
-    good, bad = B.parents_by_name(nodes, wanted)
-    return good.select(F.col("child").alias("wanted"), F.lit(True).alias("found")).unionByName(bad.select(F.col("child").alias("wanted"), F.lit(False).alias("found")))
-
-
 @query(
     "tree_attach_all_parents",
     """WITH n AS (SELECT DISTINCT ontology_id, lower(trim(name)) AS k FROM ontology_nodes)

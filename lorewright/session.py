@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -47,9 +49,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="lorewright-ckpt-")
+        atexit.register(shutil.rmtree, folder, True)
     sc.setCheckpointDir(folder)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of checkpoints, for tables that all executors must reach."""
+    ensure_checkpoint_dir(spark)
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lorewright.session import shared_folder
+
 SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 
 
@@ -55,3 +58,25 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
     """Process what is there and stop; the next run resumes where this ended."""
     q = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
     q.awaitTermination()
+
+
+def drained(result: DataFrame, mode: str = "complete") -> DataFrame:
+    """A stream's result over all that is there now, as a table in the shared folder.
+
+    ``complete`` keeps the last state of every group, ``append`` all rows given out, ``update`` the last row
+    of each batch for its groups, with the batch's number in ``batch``. State and result
+    lie in the shared folder, so a lost executor costs its tasks only.
+    """
+    spark = result.sparkSession
+    home = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+
+    def keep(rows: DataFrame, batch: int) -> None:
+        if mode == "complete":
+            rows.write.mode("overwrite").parquet(f"{home}/out")
+        else:
+            rows.withColumn("batch", F.lit(batch)).write.mode("overwrite").parquet(f"{home}/out/batch_no={batch}")
+
+    kept = result.schema if mode == "complete" else result.withColumn("batch", F.lit(0).cast("bigint")).schema
+    q = result.writeStream.foreachBatch(keep).option("checkpointLocation", f"{home}/state").outputMode(mode).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.schema(kept).parquet(f"{home}/out")
