@@ -238,7 +238,8 @@ def _trees(strings: DataFrame, col: str, shard: int) -> Iterator:
 
 def _looked_up(queries: DataFrame, trees: Iterator, nearest: bool) -> DataFrame:
     """``q, d, hit`` of all strings within the radius of each query (``q, radius``)."""
-    queries, found = cut(queries), None
+    trees, found = list(trees), None
+    queries = queries if len(trees) == 1 else cut(queries)  # each tree goes over all of them
     for shared in trees:
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
