@@ -50,6 +50,8 @@ def test_random_forests_agree_with_a_parent_walk(spark, seed):
         assert got[k]["path"] == path
         if path:
             assert got[k]["root"] == path[0] and got[k]["depth"] == len(path) - 1
+    df = spark.createDataFrame([(t, n, p, None, "x", 1) for t, n, p in rows], SCHEMA)
+    assert {(r["ontology_id"], r["name"]): r["kind"] for r in H.defects(df).collect()} == {k: kind for k, (kind, _) in want.items() if kind != "node"}
 
 
 def test_long_chain_and_large_circle(spark):
@@ -102,3 +104,12 @@ def test_components_agree_with_union_find(spark):
             par[max(find(a), find(b))] = min(find(a), find(b))
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a int, b int")).collect()}
     assert got == {x: find(x) for x in par}
+
+
+def test_defects_of_long_chains_stars_and_nothing(spark):
+    chain = [("c", f"n{i}", f"n{i + 1}", None, "x", 1) for i in range(400)] + [("c", "n400", "n300", None, "x", 1)]
+    star = [("s", f"k{i}", "hub", None, "x", 1) for i in range(300)] + [("s", "hub", " HUB", None, "x", 1)]
+    got = {(r["ontology_id"], r["name"]): r["kind"] for r in H.defects(spark.createDataFrame(chain + star, SCHEMA)).collect()}
+    want = {("c", f"n{i}"): "cycle" if i >= 300 else "hanging" for i in range(401)} | {("s", f"k{i}"): "hanging" for i in range(300)} | {("s", "hub"): "cycle"}
+    assert got == want
+    assert H.defects(spark.createDataFrame([], SCHEMA)).count() == 0
