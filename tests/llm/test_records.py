@@ -44,6 +44,24 @@ def test_groups_and_survivors(spark):
     assert best[7]["abstract"] is None
 
 
+def test_texts_that_many_groups_share_are_fillers(spark):
+    shared = "This journal covers the biology of ageing. The editors welcome work from all fields. Every article is read by two reviewers."
+    rows = []
+    for g in range(4):
+        own = FULL.replace("liver", f"liver {g}")
+        rows += [rec(10 * g + k, f"4000000{g}", None, text, None, [src], k + 1) for k, (text, src) in enumerate([(shared, "high"), (shared, "high"), (own, "low")])]
+    trust = spark.createDataFrame([("high", 1), ("low", 3)], TRUST)
+    got = {r["group_id"]: r["rec_id"] for r in survivor.survivors(spark.createDataFrame(rows, REC), trust).where("field = 'abstract'").collect()}
+    assert got == {10 * g: 10 * g + 2 for g in range(4)}
+
+
+def test_well_formed_names_and_abstracts():
+    assert survivor._whole_name("Ann Bond") and survivor._whole_name("O’Neil, Mary Ann") and survivor._whole_name("Jean-Luc Élan")
+    assert not any(map(survivor._whole_name, ["A. Bond", "Bond", "Bond, A", "ann bond", "Anonymous Author", "et al.", "Ann B0nd"]))
+    assert survivor.abstract_claim(None, "t") is None and survivor.abstract_claim(" <b></b> ", None) is None
+    assert survivor.abstract_claim(FULL, None)[2] and not survivor.abstract_claim(FULL[:-1] + "...", None)[2] and not survivor.abstract_claim(FULL, FULL)[2]
+
+
 def test_no_groups(spark):
     trust = spark.createDataFrame([], TRUST)
     assert survivor.survivors(spark.createDataFrame([], REC), trust).count() == 0
